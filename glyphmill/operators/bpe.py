@@ -28,6 +28,8 @@ from glyphmill.sources import state
 FEWEST_CANDIDATES, MOST_CANDIDATES = 48, 384
 # Merges applied on the fly to the stored word table before it is rewritten.
 PENDING_MERGES = 96
+# Words one task works on at most, before each round.
+WORDS_PER_TASK = 500_000
 
 Pair = tuple[str, str]
 
@@ -67,26 +69,29 @@ def context_counts(words: DataFrame, candidates: Sequence[Pair]) -> DataFrame:
     The list holds at most one entry per candidate, whatever the size of the data.
     """
     wanted = ",".join(f"'{left}|{right}'" for left, right in candidates)
-    triples = (
-        adjacent(words, "a", "b", "c")
-        .selectExpr(
-            "*",
-            f"concat(a, '|', b) in ({wanted}) as leads",
-            f"concat(b, '|', c) in ({wanted}) as ends",
+    return words.sparkSession.sql(
+        f"""
+        WITH triples AS (
+            SELECT a, b, c, leads, ends, sum(cnt) AS n
+            FROM (
+                SELECT *, concat(a, '|', b) IN ({wanted}) AS leads, concat(b, '|', c) IN ({wanted}) AS ends
+                FROM {{runs}}
+            )
+            WHERE leads OR ends
+            GROUP BY a, b, c, leads, ends
         )
-        .filter("leads or ends")
-        .groupBy("a", "b", "c", "leads", "ends")
-        .agg(F.sum("cnt").alias("n"))
-    )
-    as_pairs = """inline(array(
-        if(leads, struct(a as l, b as r, n, if(ends, struct(c, n), null) as overlap), null),
-        if(ends, struct(b as l, c as r, n, cast(null as struct<c:string,n:bigint>) as overlap), null)))
-        as (l, r, n, overlap)"""
-    return (
-        triples.selectExpr(as_pairs)
-        .filter("l is not null")
-        .groupBy("l", "r")
-        .agg(F.max("n").alias("bound"), F.collect_list("overlap").alias("overlaps"))
+        SELECT l, r, max(n) AS bound, collect_list(overlap) AS overlaps
+        FROM (
+            SELECT inline(array(
+                if(leads, struct(a AS l, b AS r, n, if(ends, struct(c, n), null) AS overlap), null),
+                if(ends, struct(b AS l, c AS r, n, CAST(null AS struct<c:string,n:bigint>) AS overlap), null)
+            ))
+            FROM triples
+        )
+        WHERE l IS NOT NULL
+        GROUP BY l, r
+        """,
+        runs=adjacent(words, "a", "b", "c"),
     )
 
 
@@ -155,7 +160,7 @@ def train_merges(
             trained.merges.append((row["l"], row["r"]))
             trained.counts.append(row["n"])
         trained.merges, trained.counts = trained.merges[:n_merges], trained.counts[:n_merges]
-    base = state.load_step(spark, run_dir, step)["words"].persist()
+    base = _spread_words(spark, run_dir, step)
     pending: list[Pair] = []
     candidates = FEWEST_CANDIDATES
     while len(trained.merges) < n_merges:
@@ -165,7 +170,7 @@ def train_merges(
                 spark, run_dir, step, words=mergeable(apply_merges(base, pending)), merges=_merge_rows(spark, trained)
             )
             base.unpersist()
-            base = state.load_step(spark, run_dir, step)["words"].persist()
+            base = _spread_words(spark, run_dir, step)
             pending = []
         current = apply_merges(base, pending)
         leaders = [tuple(r) for r in top_pairs(pair_counts(current), candidates).collect()]
@@ -190,6 +195,13 @@ def train_merges(
     return trained
 
 
+def _spread_words(spark: SparkSession, run_dir: str, step: int) -> DataFrame:
+    """Stored word table, cached in as many even partitions as the cluster has cores, or more."""
+    words = state.load_step(spark, run_dir, step)["words"]
+    tasks = max(spark.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
+    return words.repartition(tasks).persist()
+
+
 def _merge_rows(spark: SparkSession, trained: TrainedMerges) -> DataFrame:
     rows = [(i, l, r, n) for i, ((l, r), n) in enumerate(zip(trained.merges, trained.counts))]
     return spark.createDataFrame(rows, "rank int, l string, r string, n bigint")

@@ -47,10 +47,15 @@ def adjacent(words: DataFrame, *names: str) -> DataFrame:
 
     Overlapping runs all count. The symbols are split once per word, in a projection of their own.
     """
-    parts = words.select(symbol_array(F.col("sym")).alias("parts"), "cnt")
     runs = f"greatest(size(parts) - {len(names)}, 0)"
     slices = ", ".join(f"slice(parts, {i + 1}, {runs})" for i in range(len(names)))
-    return parts.select(F.expr(f"inline(arrays_zip({slices}))").alias(*names), "cnt")
+    return words.sparkSession.sql(
+        f"""
+        SELECT inline(arrays_zip({slices})) AS ({", ".join(names)}), cnt
+        FROM (SELECT split(replace(sym, '<', ''), '>') AS parts, cnt FROM {{words}})
+        """,
+        words=words,
+    )
 
 
 def pair_counts(words: DataFrame) -> DataFrame:

@@ -34,13 +34,18 @@ def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return _table(spark, sf, "documents").select(*columns)
 
 
+def _texts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Documents for jobs that work through every text."""
+    return corpus.spread(_documents(spark, sf, *columns))
+
+
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.words_of(counts.pretoken_counts(_documents(spark, sf, "text")))
+    return counts.words_of(counts.pretoken_counts(_texts(spark, sf, "text")))
 
 
 def _trained(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     size = 256 + len(SPECIALS) + N_MERGES
-    return bpe.train_bpe(_documents(spark, sf, "text"), size, SPECIALS)
+    return bpe.train_bpe(_texts(spark, sf, "text"), size, SPECIALS)
 
 
 def _tokenizer(spark: SparkSession, sf: str) -> Tokenizer:
@@ -97,7 +102,7 @@ def vocab_specials(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf: str, overlap: int) -> token_stream.TokenStream:
-    encoded = codec.encode_corpus(_documents(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
+    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
     return token_stream.token_stream(encoded, BLOCK_SIZE, overlap, separator_id=0)
 
 
@@ -129,11 +134,11 @@ def special_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.pretoken_counts(_documents(spark, sf, "text"))
+    return counts.pretoken_counts(_texts(spark, sf, "text"))
 
 
 def byte_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.byte_histogram(_documents(spark, sf, "text"))
+    return counts.byte_histogram(_texts(spark, sf, "text"))
 
 
 def byte_display(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,17 +175,17 @@ def rms_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encode_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown_ids(codec.encode_corpus(_documents(spark, sf, "doc_id", "text"), _tokenizer(spark, sf)))
+    return _shown_ids(codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf)))
 
 
 def decode_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     model = _tokenizer(spark, sf)
-    encoded = codec.encode_corpus(_documents(spark, sf, "doc_id", "text"), model).drop("text")
+    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), model).drop("text")
     return codec.decode_corpus(encoded, model).select("doc_id", "decoded")
 
 
 def embedding_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    encoded = codec.encode_corpus(_documents(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
+    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
     means = vectors.mean_vectors(encoded, _embeddings(spark, sf), "doc_id", "ids", "vec_id", "embedding")
     return means.select("doc_id", "idx", _rounded("mean"))
 
@@ -283,7 +288,7 @@ def clip_global_norm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def roundtrip_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return codec.roundtrip_audit(_documents(spark, sf, "lang", "text"), _tokenizer(spark, sf), "lang")
+    return codec.roundtrip_audit(_texts(spark, sf, "lang", "text"), _tokenizer(spark, sf), "lang")
 
 
 def start_uniformity(spark: SparkSession, sf: str) -> DataFrame:

@@ -30,3 +30,12 @@ def write_corpus(docs: DataFrame, path: str, text: str = "text", delimiter: str
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer splits than there are cores.
+
+    A large table has many splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
