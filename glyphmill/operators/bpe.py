@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.operators.counts import (
@@ -25,7 +25,10 @@ from glyphmill.sources import state
 
 # Pairs looked at per round, least and most. A pair beyond them is left to the next round, so the
 # numbers change how many rounds there are and never the result.
-FEWEST_CANDIDATES, MOST_CANDIDATES = 48, 384
+FEWEST_LEADERS, MOST_LEADERS = 48, 384
+# A second query asks for the context of the leaders when more than this many of the first ones
+# were not guessed in the round before.
+FIRST_LEADERS, UNKNOWN_LEADERS = 10, 2
 # Merges applied on the fly to the stored word table before it is rewritten.
 PENDING_MERGES = 96
 # Words one task works on at most, before each round.
@@ -63,10 +66,11 @@ def mergeable(words: DataFrame) -> DataFrame:
 
 
 def context_counts(words: DataFrame, candidates: Sequence[Pair]) -> DataFrame:
-    """Per candidate pair: the greatest count of a symbol triple that starts or ends with it
-    (``bound``) and the triples that overlap two candidates (``overlaps``).
+    """What surrounds each candidate pair ``(l, r)``, from the triples that start or end with it.
 
-    The list holds at most one entry per candidate, whatever the size of the data.
+    ``bound`` is the greatest count of such a triple, ``before`` and ``after`` the outer symbols of
+    the most frequent ones, ``overlaps`` the triples that hold two candidates. A list has at most one
+    entry per candidate, whatever the size of the data.
     """
     wanted = ",".join(f"'{left}|{right}'" for left, right in candidates)
     return words.sparkSession.sql(
@@ -80,11 +84,13 @@ def context_counts(words: DataFrame, candidates: Sequence[Pair]) -> DataFrame:
             WHERE leads OR ends
             GROUP BY a, b, c, leads, ends
         )
-        SELECT l, r, max(n) AS bound, collect_list(overlap) AS overlaps
+        SELECT l, r, max(n) AS bound, collect_list(overlap) AS overlaps,
+            max_by(x, n) FILTER (WHERE NOT leading) AS before,
+            max_by(x, n) FILTER (WHERE leading) AS after
         FROM (
             SELECT inline(array(
-                if(leads, struct(a AS l, b AS r, n, if(ends, struct(c, n), null) AS overlap), null),
-                if(ends, struct(b AS l, c AS r, n, CAST(null AS struct<c:string,n:bigint>) AS overlap), null)
+                if(leads, struct(a AS l, b AS r, c AS x, true AS leading, n, if(ends, struct(c, n), null) AS overlap), null),
+                if(ends, struct(b AS l, c AS r, a AS x, false AS leading, n, CAST(null AS struct<c:string,n:bigint>) AS overlap), null)
             ))
             FROM triples
         )
@@ -95,6 +101,65 @@ def context_counts(words: DataFrame, candidates: Sequence[Pair]) -> DataFrame:
     )
 
 
+@dataclass
+class Round:
+    """Counts of one round: pairs in greedy order, and the context of the candidates asked for."""
+
+    leaders: list[tuple[str, str, int]] = field(default_factory=list)
+    bounds: dict[Pair, int] = field(default_factory=dict)
+    overlaps: dict[tuple[str, str, str], int] = field(default_factory=dict)
+    outer: dict[Pair, tuple[str | None, str | None]] = field(default_factory=dict)
+
+    def read(self, rows: Iterable[Row], candidates: Sequence[Pair]) -> None:
+        self.bounds.update(dict.fromkeys(candidates, 0))
+        for row in rows:
+            pair = (row["l"], row["r"])
+            if row["overlaps"] is None:
+                self.leaders.append((*pair, row["bound"]))
+                continue
+            self.bounds[pair] = row["bound"]
+            self.outer[pair] = (row["before"], row["after"])
+            for o in row["overlaps"]:
+                self.overlaps[(*pair, o["c"])] = o["n"]
+        self.leaders.sort(key=lambda p: (p[2], p[0], p[1]), reverse=True)
+
+    def guess(self, chosen: Sequence[tuple[str, str, int]]) -> list[Pair]:
+        """Likely leaders of the next round: those left over, and accepted pairs grown by a symbol."""
+        done = {p[:2] for p in chosen}
+        made = {p: p[0] + p[1] for p in done}
+        grown = []
+        for pair in done:
+            before, after = self.outer.get(pair, (None, None))
+            # The neighbour may have been merged away in the same round; then the guess is idle.
+            grown += [(before, made[pair])] if before else []
+            grown += [(made[pair], after)] if after else []
+        return list(dict.fromkeys([p[:2] for p in self.leaders if p[:2] not in done] + grown))
+
+
+def round_counts(words: DataFrame, k: int, candidates: Sequence[Pair]) -> Round:
+    """Leading pairs, and the context of ``candidates``, in one query.
+
+    When too many leaders were not among the candidates their context takes a second query.
+    """
+    found = Round()
+    leaders = top_pairs(pair_counts(words), k).selectExpr(
+        "l",
+        "r",
+        "n AS bound",
+        "CAST(null AS array<struct<c:string,n:bigint>>) AS overlaps",
+        "CAST(null AS string) AS before",
+        "CAST(null AS string) AS after",
+    )
+    query = leaders.unionByName(context_counts(words, candidates)) if candidates else leaders
+    found.read(query.collect(), candidates)
+    first = [p[:2] for p in found.leaders]
+    if k > 1 and sum(p not in found.bounds for p in first[:FIRST_LEADERS]) > UNKNOWN_LEADERS:
+        missing = [p for p in first if p not in found.bounds]
+        # Overlaps count between any two candidates, so all leaders are asked for again.
+        found.read(context_counts(words, first).collect(), missing)
+    return found
+
+
 def accept(
     leaders: Sequence[tuple[str, str, int]],
     bounds: dict[Pair, int],
@@ -132,7 +197,8 @@ def accept(
         made.add(left + right)
         lefts.add(left)
         rights.add(right)
-        ceiling = max(ceiling, bounds.get((left, right), 0))
+        # Without its context known, nothing after this pair is decided.
+        ceiling = max(ceiling, bounds.get((left, right), n))
     return chosen
 
 
@@ -162,7 +228,7 @@ def train_merges(
         trained.merges, trained.counts = trained.merges[:n_merges], trained.counts[:n_merges]
     base = _spread_words(spark, run_dir, step)
     pending: list[Pair] = []
-    candidates = FEWEST_CANDIDATES
+    n_leaders, guess = FEWEST_LEADERS, []
     while len(trained.merges) < n_merges:
         if len(pending) >= pending_limit:
             step += 1
@@ -173,20 +239,18 @@ def train_merges(
             base = _spread_words(spark, run_dir, step)
             pending = []
         current = apply_merges(base, pending)
-        leaders = [tuple(r) for r in top_pairs(pair_counts(current), candidates).collect()]
-        if not leaders:
-            break
         room = n_merges - len(trained.merges)
-        bounds, overlaps = {}, {}
         if batched and room > 1:
-            for row in context_counts(current, [p[:2] for p in leaders]).collect():
-                bounds[row["l"], row["r"]] = row["bound"]
-                for o in row["overlaps"]:
-                    overlaps[row["l"], row["r"], o["c"]] = o["n"]
+            counted = round_counts(current, n_leaders, guess)
+        else:
+            counted = round_counts(current, 1, [])
+        if not counted.leaders:
+            break
         known = {left + right for left, right in trained.merges}
-        chosen = accept(leaders, bounds, overlaps, known, room if batched else 1)
+        chosen = accept(counted.leaders, counted.bounds, counted.overlaps, known, room if batched else 1)
         trained.rounds += 1
-        candidates = min(max(4 * len(chosen), FEWEST_CANDIDATES), MOST_CANDIDATES)
+        guess = counted.guess(chosen)
+        n_leaders = min(max(4 * len(chosen), FEWEST_LEADERS), MOST_LEADERS)
         for left, right, n in chosen:
             pending.append((left, right))
             trained.merges.append((left, right))
