@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions.text import byte_display, byte_parse
+from glyphmill.schemas import VOCAB
 
 
 def load_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -38,19 +39,17 @@ def load_merges(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_specials(vocab: DataFrame, specials: Sequence[str]) -> DataFrame:
-    """Give each special token that the vocabulary lacks the next free id, in list order."""
-    spark = vocab.sparkSession
-    wanted = spark.createDataFrame(
-        list(enumerate(dict.fromkeys(specials))), "place int, t string"
-    ).select("place", F.encode("t", "UTF-8").alias("token"))
-    missing = wanted.join(vocab, "token", "left_anti")
-    # Both windows and the count below range over the special tokens and one vocabulary.
-    place = F.row_number().over(Window.orderBy("place"))
-    size = vocab.agg(F.count(F.lit(1)).alias("size"))
-    added = missing.withColumn("place", place).join(F.broadcast(size)).select(
-        (F.col("size") + F.col("place") - 1).cast("int").alias("token_id"), "token"
-    )
-    return vocab.select("token_id", "token").unionByName(added)
+    """Give each special token that the vocabulary lacks the next free id, in list order.
+
+    Only the special tokens found in the vocabulary, and its size, reach the driver.
+    """
+    wanted = {t.encode(): t for t in specials if t}
+    named = vocab.sparkSession.createDataFrame([(t,) for t in wanted.values()], "t string")
+    held = vocab.join(F.broadcast(named), F.col("token") == F.encode("t", "UTF-8"), "left_semi")
+    found = {bytes(row["token"]) for row in held.collect()}
+    size = vocab.count()
+    missing = [(size + i, bytearray(t)) for i, t in enumerate(t for t in wanted if t not in found)]
+    return vocab.select("token_id", "token").unionByName(vocab.sparkSession.createDataFrame(missing, VOCAB))
 
 
 def write_tokenizer(vocab: DataFrame, merges: DataFrame, folder: str) -> None:
