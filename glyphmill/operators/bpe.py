@@ -29,8 +29,8 @@ FEWEST_LEADERS, MOST_LEADERS = 48, 384
 # A second query asks for the context of the leaders when more than this many of the first ones
 # were not guessed in the round before.
 FIRST_LEADERS, UNKNOWN_LEADERS = 10, 2
-# Merges applied on the fly to the stored word table before it is rewritten.
-PENDING_MERGES = 96
+# Rounds after which the word table and the merges are committed.
+COMMIT_ROUNDS = 16
 # Words one task works on at most, before each round.
 WORDS_PER_TASK = 500_000
 
@@ -207,7 +207,7 @@ def train_merges(
     n_merges: int,
     run_dir: str | None = None,
     batched: bool = True,
-    pending_limit: int = PENDING_MERGES,
+    commit_rounds: int = COMMIT_ROUNDS,
 ) -> TrainedMerges:
     """Greedy merges of a word table ``(sym, cnt)``.
 
@@ -226,19 +226,10 @@ def train_merges(
             trained.merges.append((row["l"], row["r"]))
             trained.counts.append(row["n"])
         trained.merges, trained.counts = trained.merges[:n_merges], trained.counts[:n_merges]
-    base = _spread_words(spark, run_dir, step)
-    pending: list[Pair] = []
-    n_leaders, guess = FEWEST_LEADERS, []
+    current = _spread_words(spark, run_dir, step)
+    held: list[DataFrame] = []
+    uncommitted, n_leaders, guess = 0, FEWEST_LEADERS, []
     while len(trained.merges) < n_merges:
-        if len(pending) >= pending_limit:
-            step += 1
-            state.save_step(
-                spark, run_dir, step, words=mergeable(apply_merges(base, pending)), merges=_merge_rows(spark, trained)
-            )
-            base.unpersist()
-            base = _spread_words(spark, run_dir, step)
-            pending = []
-        current = apply_merges(base, pending)
         room = n_merges - len(trained.merges)
         if batched and room > 1:
             counted = round_counts(current, n_leaders, guess)
@@ -249,13 +240,29 @@ def train_merges(
         known = {left + right for left, right in trained.merges}
         chosen = accept(counted.leaders, counted.bounds, counted.overlaps, known, room if batched else 1)
         trained.rounds += 1
+        trained.merges += [p[:2] for p in chosen]
+        trained.counts += [p[2] for p in chosen]
         guess = counted.guess(chosen)
         n_leaders = min(max(4 * len(chosen), FEWEST_LEADERS), MOST_LEADERS)
-        for left, right, n in chosen:
-            pending.append((left, right))
-            trained.merges.append((left, right))
-            trained.counts.append(n)
-    base.unpersist()
+        # The next word table is cached while the next round counts it, so each merge is applied
+        # once. The chain of cached tables ends at the last committed one.
+        merged, before = apply_merges(current, [p[:2] for p in chosen]), current
+        uncommitted += 1
+        if uncommitted == commit_rounds:
+            step, uncommitted = step + 1, 0
+            state.save_step(spark, run_dir, step, words=mergeable(merged), merges=_merge_rows(spark, trained))
+            current = _spread_words(spark, run_dir, step)
+            for old in [*held, before]:
+                old.unpersist()
+            held = []
+        else:
+            current = merged.persist()
+            held.append(before)
+            for old in held[:-1]:
+                old.unpersist()
+            held = held[-1:]
+    for old in [*held, current]:
+        old.unpersist()
     return trained
 
 

@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glyphmill.functions import schedule, text, vector
 from glyphmill.operators import bpe, codec, counts, diff, fit, metrics, token_stream, vectors
 from glyphmill.operators.tokenizer import Tokenizer
+from glyphmill.schemas import DOCUMENTS
 from glyphmill.session import new_path
 from glyphmill.sources import corpus, tokenizer_files
 from glyphmill.streaming import live
@@ -353,16 +355,23 @@ def lr_schedule(spark: SparkSession, sf: str) -> DataFrame:
 # Streams
 
 
+def _arriving(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The documents as a stream; the table is one file, so its rows are spread over the cores."""
+    schema = StructType([DOCUMENTS[c] for c in columns])
+    cores = spark.sparkContext.defaultParallelism
+    return live.document_stream(spark, sf, schema, "documents.parquet", tasks=cores)
+
+
 def stream_encode(spark: SparkSession, sf: str) -> DataFrame:
     out = new_path(spark, "encoded-stream")
-    docs = live.document_stream(spark, sf, files="documents.parquet")
+    docs = _arriving(spark, sf, "doc_id", "text")
     live.stream_encode(docs, _tokenizer(spark, sf), f"{out}/data", f"{out}/log", ["doc_id"]).awaitTermination()
     return _shown_ids(spark.read.parquet(f"{out}/data"))
 
 
 def stream_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = new_path(spark, "count-stream")
-    docs = live.document_stream(spark, sf, files="documents.parquet")
+    docs = _arriving(spark, sf, "text")
     live.stream_pretoken_counts(docs, f"{out}/data", f"{out}/log").awaitTermination()
     return live.latest_counts(spark, f"{out}/data")
 

@@ -24,12 +24,17 @@ def document_stream(
     schema: T.StructType = DOCUMENTS,
     files: str = "*.parquet",
     files_per_batch: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Stream of whole documents from parquet files; the unit is never a piece of a text."""
+    """Stream of whole documents from parquet files; the unit is never a piece of a text.
+
+    ``tasks`` spreads the documents of a batch when they arrive in fewer files than there are cores.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    docs = reader.parquet(folder)
+    return docs.repartition(tasks) if tasks else docs
 
 
 def stream_encode(

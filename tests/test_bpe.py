@@ -65,7 +65,7 @@ def test_training_equals_one_merge_at_a_time(spark, texts):
     rows = [*texts, "the theme then there bathe " * 9, "abababab babab " * 4]
     expected = brute.train(brute.byte_words(rows), 60)
     words = counts.words_of(counts.pretoken_counts(_docs(spark, rows)))
-    trained = bpe.train_merges(words, 60, pending_limit=16)
+    trained = bpe.train_merges(words, 60, commit_rounds=5)
     assert trained.merges == _hex(expected)
     assert trained.counts == [n for _, n in expected]
     assert trained.rounds < 45
@@ -88,11 +88,11 @@ def test_training_resumes_from_the_last_commit(spark):
     words = counts.words_of(counts.pretoken_counts(_docs(spark, rows)))
     whole = bpe.train_merges(words, 40)
     run_dir = new_path(spark, "resume")
-    bpe.train_merges(words, 25, run_dir, pending_limit=8)
+    bpe.train_merges(words, 25, run_dir, commit_rounds=2)
     steps = state.committed_steps(spark, run_dir)
     assert len(steps) > 1
     # The word table is not read again: an empty one gives the same merges.
-    resumed = bpe.train_merges(words.filter(F.lit(False)), 40, run_dir, pending_limit=8)
+    resumed = bpe.train_merges(words.filter(F.lit(False)), 40, run_dir, commit_rounds=2)
     assert resumed.merges == whole.merges and resumed.counts == whole.counts
 
 
