@@ -21,6 +21,8 @@ from glyphmill.operators.counts import (
     top_pairs,
     words_of,
 )
+from glyphmill.schemas import HEX_MERGES, NAMED_TOKENS
+from glyphmill.session import local_table
 from glyphmill.sources import state
 
 # Pairs looked at per round, least and most. A pair beyond them is left to the next round, so the
@@ -275,7 +277,7 @@ def _spread_words(spark: SparkSession, run_dir: str, step: int) -> DataFrame:
 
 def _merge_rows(spark: SparkSession, trained: TrainedMerges) -> DataFrame:
     rows = [(i, l, r, n) for i, ((l, r), n) in enumerate(zip(trained.merges, trained.counts))]
-    return spark.createDataFrame(rows, "rank int, l string, r string, n bigint")
+    return local_table(spark, rows, HEX_MERGES)
 
 
 def merges_table(spark: SparkSession, trained: TrainedMerges) -> DataFrame:
@@ -298,7 +300,7 @@ def assemble_vocab(merges: DataFrame, specials: Sequence[str] = ()) -> DataFrame
     )
     vocab = bytes_part.unionByName(merge_part)
     if specials:
-        named = spark.createDataFrame(list(enumerate(specials)), "token_id int, t string")
+        named = local_table(spark, list(enumerate(specials)), NAMED_TOKENS)
         vocab = named.select("token_id", F.encode("t", "UTF-8").alias("token")).unionByName(vocab)
     return vocab
 

@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.operators.vectors import to_matrix
-from glyphmill.schemas import STATE
+from glyphmill.schemas import STATE, TRACE
+from glyphmill.session import local_table
 from glyphmill.sources import state
 
-TRACE = "step int, rate double, loss double, grad_norm double"
-
 
 @dataclass(frozen=True)
 class Settings:
@@ -164,7 +163,7 @@ def save_model(spark: SparkSession, run_dir: str, model: Model) -> None:
         spark,
         run_dir,
         model.step,
-        state=spark.createDataFrame(values, STATE),
+        state=local_table(spark, values, STATE),
         trace=trace_table(spark, model),
     )
 
@@ -186,4 +185,4 @@ def load_model(spark: SparkSession, run_dir: str, step: int | None = None) -> Mo
 
 def trace_table(spark: SparkSession, model: Model) -> DataFrame:
     """``(step, rate, loss, grad_norm)``, the loss before each step."""
-    return spark.createDataFrame(model.trace, TRACE)
+    return local_table(spark, model.trace, TRACE)

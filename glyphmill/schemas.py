@@ -17,24 +17,27 @@ DOCUMENTS = _table(
 
 VOCAB = _table(("token_id", T.IntegerType(), False), ("token", T.BinaryType(), False))
 
-MERGES = _table(
+# Merges as the trainer commits them: hex symbols and the count each pair had.
+HEX_MERGES = _table(
     ("rank", T.IntegerType(), False),
-    ("left", T.BinaryType(), False),
-    ("right", T.BinaryType(), False),
+    ("l", T.StringType(), False),
+    ("r", T.StringType(), False),
+    ("n", T.LongType(), False),
 )
 
-WORDS = _table(("sym", T.StringType(), True), ("cnt", T.LongType(), True))
+NAMED_TOKENS = _table(("token_id", T.IntegerType(), False), ("t", T.StringType(), False))
+
+COMMITTED = _table(("step", T.IntegerType(), False), ("tables", T.ArrayType(T.StringType()), False))
+
+TRACE = _table(
+    ("step", T.IntegerType(), False),
+    ("rate", T.DoubleType(), False),
+    ("loss", T.DoubleType(), False),
+    ("grad_norm", T.DoubleType(), False),
+)
 
 STATE = _table(
     ("name", T.StringType(), False),
     ("idx", T.IntegerType(), False),
     ("value", T.DoubleType(), False),
 )
-
-TABLE_DIFF = _table(
-    ("key", T.StringType(), True),
-    ("idx", T.IntegerType(), True),
-    ("kind", T.StringType(), False),
-    ("actual", T.DoubleType(), True),
-    ("expected", T.DoubleType(), True),
-)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(app_name: str = "glyphmill", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -50,3 +53,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Table of a few rows the driver holds, as one partition of a local relation."""
+    columns = [pa.array([row[i] for row in rows]) for i in range(len(schema))]
+    table = pa.Table.from_arrays(columns, names=schema.names)
+    return spark.createDataFrame(table, schema).coalesce(1)

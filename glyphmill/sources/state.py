@@ -10,7 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphmill.session import new_path
+from glyphmill.schemas import COMMITTED
+from glyphmill.session import local_table, new_path
 
 _MARKER = "committed"
 
@@ -47,8 +48,8 @@ def save_step(spark: SparkSession, run_dir: str, step: int, **tables: DataFrame)
     folder = f"{run_dir}/step={step}"
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{folder}/{name}")
-    marker = spark.createDataFrame([(step, sorted(tables))], "step int, tables array<string>")
-    marker.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_MARKER}")
+    marker = local_table(spark, [(step, sorted(tables))], COMMITTED)
+    marker.write.mode("overwrite").parquet(f"{folder}/{_MARKER}")
 
 
 def load_step(spark: SparkSession, run_dir: str, step: int) -> dict[str, DataFrame]:

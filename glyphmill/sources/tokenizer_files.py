@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions.text import byte_display, byte_parse
-from glyphmill.schemas import VOCAB
+from glyphmill.schemas import NAMED_TOKENS, VOCAB
+from glyphmill.session import local_table
 
 
 def load_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -44,12 +45,13 @@ def append_specials(vocab: DataFrame, specials: Sequence[str]) -> DataFrame:
     Only the special tokens found in the vocabulary, and its size, reach the driver.
     """
     wanted = {t.encode(): t for t in specials if t}
-    named = vocab.sparkSession.createDataFrame([(t,) for t in wanted.values()], "t string")
+    spark = vocab.sparkSession
+    named = local_table(spark, list(enumerate(wanted.values())), NAMED_TOKENS).drop("token_id")
     held = vocab.join(F.broadcast(named), F.col("token") == F.encode("t", "UTF-8"), "left_semi")
     found = {bytes(row["token"]) for row in held.collect()}
     size = vocab.count()
-    missing = [(size + i, bytearray(t)) for i, t in enumerate(t for t in wanted if t not in found)]
-    return vocab.select("token_id", "token").unionByName(vocab.sparkSession.createDataFrame(missing, VOCAB))
+    missing = [(size + i, t) for i, t in enumerate(t for t in wanted if t not in found)]
+    return vocab.select("token_id", "token").unionByName(local_table(spark, missing, VOCAB))
 
 
 def write_tokenizer(vocab: DataFrame, merges: DataFrame, folder: str) -> None:
