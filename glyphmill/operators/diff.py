@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _long_form(df: DataFrame, key: str, value: str) -> DataFrame:
-    """``(key, idx, v, copies)``, one row per key and array position; numbers have position 0."""
+def _long_form(df: DataFrame, key: str, value: str) -> tuple[DataFrame, list[str]]:
+    """``(key, [idx,] v, copies)``, one row per key or per key and array position, and its keys."""
     if isinstance(df.schema[value].dataType, T.ArrayType):
-        flat = df.select(F.col(key).alias("key"), F.posexplode(value).alias("idx", "v"))
+        flat, keys = df.select(F.col(key).alias("key"), F.posexplode(value).alias("idx", "v")), ["key", "idx"]
     else:
-        flat = df.select(F.col(key).alias("key"), F.lit(0).alias("idx"), F.col(value).alias("v"))
-    return flat.groupBy("key", "idx").agg(
-        F.max(F.col("v").cast("double")).alias("v"), F.count(F.lit(1)).alias("copies")
-    )
+        flat, keys = df.select(F.col(key).alias("key"), F.col(value).alias("v")), ["key"]
+    return flat.groupBy(*keys).agg(F.max(F.col("v").cast("double")).alias("v"), F.count(F.lit(1)).alias("copies")), keys
 
 
 def _close(actual: Column, expected: Column, rtol: float, atol: float) -> Column:
@@ -38,15 +36,19 @@ def table_diff(
 ) -> DataFrame:
     """One row ``(key, idx, kind, actual, expected)`` per difference; an empty result is a match.
 
-    ``kind`` is ``missing`` (only expected), ``extra`` (only actual), ``repeated`` (a key that is not
+    Numbers have position 0. ``kind`` is ``missing`` (only expected), ``extra`` (only actual), ``repeated`` (a key that is not
     unique on one side) or ``different`` (outside ``atol + rtol * |expected|``). NaN equals NaN. Both
     sides are aggregated by key before the join, on the same partitioning, so repeated keys never
     multiply.
     """
     if exact:
         rtol = atol = 0.0
-    left = _long_form(actual, key, value).select("key", "idx", F.col("v").alias("actual"), F.col("copies").alias("a"))
-    right = _long_form(expected, key, value).select("key", "idx", F.col("v").alias("expected"), F.col("copies").alias("e"))
+    (left, keys), (right, right_keys) = _long_form(actual, key, value), _long_form(expected, key, value)
+    if keys != right_keys:
+        raise ValueError("both sides must hold numbers, or both arrays")
+    left = left.select(*keys, F.col("v").alias("actual"), F.col("copies").alias("a"))
+    right = right.select(*keys, F.col("v").alias("expected"), F.col("copies").alias("e"))
+    position = F.col("idx") if "idx" in keys else F.lit(0)
     kind = (
         F.when((F.coalesce("a", F.lit(0)) > 1) | (F.coalesce("e", F.lit(0)) > 1), "repeated")
         .when(F.col("a").isNull(), F.lit(None) if ignore_missing else F.lit("missing"))
@@ -54,8 +56,8 @@ def table_diff(
         .when(~_close(F.col("actual"), F.col("expected"), rtol, atol), "different")
     )
     return (
-        left.join(right, ["key", "idx"], "full_outer")
+        left.join(right, keys, "full_outer")
         .withColumn("kind", kind)
         .filter("kind is not null")
-        .select(F.col("key").cast("string").alias("key"), "idx", "kind", "actual", "expected")
+        .select(F.col("key").cast("string").alias("key"), position.alias("idx"), "kind", "actual", "expected")
     )

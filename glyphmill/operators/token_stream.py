@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from glyphmill.operators.joins import BROADCAST_ROWS
 from glyphmill.session import write_table
 
 
@@ -69,7 +70,9 @@ def token_stream(
     encoded = write_table(encoded.select(doc_id, ids), "encoded")
     extra = 0 if separator_id is None else 1
     offsets = write_table(document_offsets(encoded, doc_id, ids, extra).filter("n > 0"), "offsets")
-    n_tokens = offsets.agg(F.sum("n")).first()[0] or 0
+    n_docs, n_tokens = offsets.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # Hashing the narrow side spares sorting the id arrays.
+    located = F.broadcast(offsets) if n_docs <= BROADCAST_ROWS else offsets.hint("shuffle_hash")
     whole = F.col(ids) if separator_id is None else F.concat(F.col(ids), F.array(F.lit(separator_id)))
 
     def piece(block: Column) -> Column:
@@ -81,10 +84,10 @@ def token_stream(
             F.slice(F.col("whole"), (first + 1).cast("int"), (last - first).cast("int")).alias("tokens"),
         )
 
-    first_block = F.greatest(F.floor((F.col("offset") - overlap) / block_size), F.lit(0))
-    last_block = F.floor((F.col("offset") + F.col("n") - 1) / block_size)
+    first_block = F.greatest(F.call_function("div", F.col("offset") - overlap, F.lit(block_size)), F.lit(0))
+    last_block = F.call_function("div", F.col("offset") + F.col("n") - 1, F.lit(block_size))
     pieces = (
-        encoded.join(offsets, doc_id)
+        encoded.join(located, doc_id)
         .select("offset", "n", whole.alias("whole"))
         .select(F.inline(F.transform(F.sequence(first_block, last_block), piece)))
     )
@@ -127,7 +130,7 @@ def context_windows(stream: TokenStream, context_length: int, n_samples: int, se
         raise ValueError("blocks must overlap by the context length")
     starts = window_starts(
         stream.blocks.sparkSession, stream.n_tokens, context_length, n_samples, seed
-    ).withColumn("block_id", F.floor(F.col("start") / stream.block_size))
+    ).withColumn("block_id", F.call_function("div", F.col("start"), F.lit(stream.block_size)))
     inside = (F.col("start") - F.col("start_pos")).cast("int")
     return starts.join(stream.blocks, "block_id").select(
         "sample_id",
@@ -144,7 +147,7 @@ def start_uniformity(starts: DataFrame, n_starts: int, n_samples: int, n_bins: i
     """
     spark = starts.sparkSession
     width = -(-n_starts // (n_bins or n_starts))
-    counts = starts.groupBy((F.floor(F.col("start") / width)).alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = starts.groupBy(F.call_function("div", F.col("start"), F.lit(width)).alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
     share = F.least(F.lit(width), F.lit(n_starts) - F.col("bin") * width) / F.lit(float(n_starts))
     mean, spread = n_samples * share, 5 * F.sqrt(n_samples * share * (1 - share))
     return (

@@ -63,14 +63,14 @@ def _docs(spark, rows):
 
 def test_training_equals_one_merge_at_a_time(spark, texts):
     rows = [*texts, "the theme then there bathe " * 9, "abababab babab " * 4]
-    expected = brute.train(brute.byte_words(rows), 60)
+    expected = brute.train(brute.byte_words(rows), 40)
     words = counts.words_of(counts.pretoken_counts(_docs(spark, rows)))
-    trained = bpe.train_merges(words, 60, commit_rounds=5)
+    trained = bpe.train_merges(words, 40, commit_rounds=5)
     assert trained.merges == _hex(expected)
     assert trained.counts == [n for _, n in expected]
-    assert trained.rounds < 45
-    few = bpe.train_merges(words.repartition(7), 12, batched=False)
-    assert few.merges == trained.merges[:12] and few.rounds == 12
+    assert trained.rounds < 35
+    few = bpe.train_merges(words.repartition(7), 8, batched=False)
+    assert few.merges == trained.merges[:8] and few.rounds == 8
 
 
 def test_training_ends_when_no_pair_is_left(spark):
@@ -86,13 +86,13 @@ def test_training_resumes_from_the_last_commit(spark):
     rng = random.Random(3)
     rows = [" ".join("".join(rng.choices("abcde", k=rng.randint(2, 8))) for _ in range(40)) for _ in range(10)]
     words = counts.words_of(counts.pretoken_counts(_docs(spark, rows)))
-    whole = bpe.train_merges(words, 40)
+    whole = bpe.train_merges(words, 24)
     run_dir = new_path(spark, "resume")
-    bpe.train_merges(words, 25, run_dir, commit_rounds=2)
+    bpe.train_merges(words, 16, run_dir, commit_rounds=2)
     steps = state.committed_steps(spark, run_dir)
     assert len(steps) > 1
     # The word table is not read again: an empty one gives the same merges.
-    resumed = bpe.train_merges(words.filter(F.lit(False)), 40, run_dir, commit_rounds=2)
+    resumed = bpe.train_merges(words.filter(F.lit(False)), 24, run_dir, commit_rounds=2)
     assert resumed.merges == whole.merges and resumed.counts == whole.counts
 
 

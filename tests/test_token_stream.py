@@ -26,7 +26,8 @@ def test_blocks_hold_the_stream_in_order(spark, separator, size, overlap):
         assert row["tokens"] == flat[i * size : (i + 1) * size + overlap]
 
 
-def test_stream_does_not_depend_on_partitions(spark):
+def test_stream_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ts, "BROADCAST_ROWS", 1)
     blocks = [
         sorted(map(str, ts.token_stream(_encoded(spark, n), 16, 4, 0).blocks.collect())) for n in (1, 9)
     ]
