@@ -32,15 +32,14 @@ def build_session(app_name: str = "glyphmill", cores: int | str = "*", **conf: s
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a local run without one gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="glyphmill-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="glyphmill-", dir="/tmp"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
