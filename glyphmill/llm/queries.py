@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, mixing
+from glyphmill.llm import bpe_codec, language_mixture, mixing, simhash_golay, toxicity
+from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
 
@@ -27,13 +28,42 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text")
+    found = simhash_golay.near_duplicates(docs, keep_text=False)
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 def op8_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.coding_digest(_documents(spark, sf), tokenizer_path())
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text")
+    model = toxicity.train_toxicity(docs, table(spark, sf, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    model = language_mixture.train_languages(docs)
+    return language_mixture.language_of(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op7_simhash_golay": op7_simhash_golay,
     "op8_bpe_codec": op8_bpe_codec,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_mixture": op10_language_mixture,
 }
 
 ORACLES = {
