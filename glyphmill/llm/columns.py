@@ -16,9 +16,8 @@ CHUNK_BYTES = 1 << 20
 
 
 def own_name(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have yet, in any case."""
-    taken = {c.lower() for c in df.columns}
-    return stem if stem.lower() not in taken else f"{stem}_{uuid.uuid4().hex[:12]}"
+    """A column name that neither ``df`` nor a result has."""
+    return f"{stem}_{uuid.uuid4().hex[:12]}"
 
 
 def put(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

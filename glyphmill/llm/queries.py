@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, language_mixture, mixing, simhash_golay, toxicity
+from glyphmill.llm import bpe_codec, language_mixture, mixing, secrets, simhash_golay, toxicity
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
@@ -28,6 +28,23 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan_secrets(_documents(spark, sf).select("doc_id", "text"), out="spans")
+    known = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.spans_text(known).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf).select("doc_id", "text")
     found = simhash_golay.near_duplicates(docs, keep_text=False)
@@ -60,6 +77,7 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_secrets": op3_secrets,
     "op7_simhash_golay": op7_simhash_golay,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_toxicity": op9_toxicity,
