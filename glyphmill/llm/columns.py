@@ -38,11 +38,12 @@ def map_text(df: DataFrame, batch_function: Callable[[pa.RecordBatch], Iterator[
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of an Arrow string array and where each text starts; NULL counts as empty."""
-    texts = texts.fill_null("")
+    """Bytes of an Arrow string or binary array and where each text starts; NULL counts as empty."""
+    if texts.null_count:
+        texts = texts.fill_null("")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    wide = pa.types.is_large_string(texts.type)
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     bounds = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
     bounds = bounds[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = texts.buffers()[2]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, language_mixture, mixing, secrets, simhash_golay, toxicity
+from glyphmill.llm import bpe_codec, language_mixture, mixing, repeated_spans, secrets, simhash_golay, toxicity
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
@@ -45,6 +45,12 @@ def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = repeated_spans.remove_repeats(_documents(spark, sf).select("doc_id", "text"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
+
+
 def op7_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf).select("doc_id", "text")
     found = simhash_golay.near_duplicates(docs, keep_text=False)
@@ -78,6 +84,7 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
+    "op4_repeated_spans": op4_repeated_spans,
     "op7_simhash_golay": op7_simhash_golay,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_toxicity": op9_toxicity,
