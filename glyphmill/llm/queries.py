@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, language_mixture, mixing, repeated_spans, secrets, simhash_golay, toxicity
+from glyphmill.llm import bpe_codec, epsilon_join, language_mixture, max_score, mixing, repeated_spans, secrets, simhash_golay, toxicity
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
@@ -51,6 +51,15 @@ def op4_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", kept)
 
 
+def op5_epsilon_join(spark: SparkSession, sf: str) -> DataFrame:
+    return epsilon_join.near_vectors(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_max_score(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return max_score.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op7_simhash_golay(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf).select("doc_id", "text")
     found = simhash_golay.near_duplicates(docs, keep_text=False)
@@ -85,6 +94,8 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_repeated_spans": op4_repeated_spans,
+    "op5_epsilon_join": op5_epsilon_join,
+    "op6_max_score": op6_max_score,
     "op7_simhash_golay": op7_simhash_golay,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_toxicity": op9_toxicity,
