@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, epsilon_join, language_mixture, max_score, mixing, repeated_spans, secrets, simhash_golay, toxicity
+from glyphmill.llm import bpe_codec, epsilon_join, language_mixture, license_scan, max_score, mixing, repeated_spans, secrets, simhash_golay, toxicity
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
@@ -21,6 +21,21 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per document and license notice in it."""
+    found = license_scan.scan_licenses(_documents(spark, sf).select("doc_id", "text"))
+    matches = found.select("doc_id", F.explode("licenses").alias("match"))
+    return matches.select(
+        "doc_id",
+        F.col("match.template_id").alias("template_id"),
+        F.round("match.containment", 6).alias("containment"),
+        F.size("match.spans").cast("bigint").alias("n_spans"),
+        F.array_join(
+            F.transform("match.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ","
+        ).alias("spans"),
+    )
+
+
 def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(_documents(spark, sf))
     return plan.select(
@@ -91,6 +106,7 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_repeated_spans": op4_repeated_spans,
