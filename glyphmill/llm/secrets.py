@@ -67,7 +67,7 @@ def _mean(values: Column) -> Column:
 def _p_value(token: Column, alphabet: str, ordinary: float) -> Column:
     """How likely an ordinary string repeats characters as little as ``token``; one if it is not random."""
     k = float(len(alphabet))
-    plain = F.translate(F.rtrim(F.lit("="), token), "-_", "+/")
+    plain = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
     index = F.transform(chars, lambda c: F.greatest(F.instr(F.lit(alphabet), c) - 1, F.lit(0)).cast("double"))
 
