@@ -3,10 +3,11 @@
 Ranking every position by Spark would move some fifty times the text, so only positions that are bound
 to meet are ranked: a window of ``length`` bytes is handed to the position, among its first
 ``length - PREFIX + 1``, whose ``PREFIX`` bytes have the smallest hash. Equal windows choose the same
-place. The first round of ranks groups the chosen positions by their ``PREFIX`` bytes; those that are
-alone have no repeated window and leave. The next round ranks the windows of the others by the pair of
-that group and all bytes up to ``length``, and the first of equal windows, in order of document and
-position, is kept.
+place, and neighbouring windows mostly choose the same position. The first round of ranks groups the
+positions by their ``PREFIX`` bytes; those that are alone have no repeated window and leave. The second
+ranks them by the pair of that group and the whole stretch of bytes that their windows cover: a stretch
+that came before has no window of its own. What is left, the first of each of several stretches of one
+group, is ranked window by window at the full ``length``.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm.columns import map_text, text_buffer
 from glyphmill.llm.word_hashes import span_hashes
+from glyphmill.session import write_table
 
 LENGTH = 100
 PREFIX = 24
 # Positions worked on together; a longer text is taken in pieces.
 PIECE = 1 << 19
+# A run of windows in one number: tie of the document, first window, number of windows.
+TIE_BITS, FIRST_BITS, COUNT_BITS = 20, 31, 12
 # Stands for a NULL id, which comes before all others.
 NO_ID = -(1 << 63)
 
@@ -32,8 +36,8 @@ NO_ID = -(1 << 63)
 def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: int):
     """Runs of neighbouring windows that are handed to the same position.
 
-    Yields, for pieces of the buffer, the text of each run, the chosen position, the first and the last
-    start of a window (all as places in the buffer), and the hash of the chosen ``prefix`` bytes.
+    Yields, for pieces of the buffer, the text of each run, the first and the last start of a window (as
+    places in the buffer), the hash of the chosen ``prefix`` bytes and that of all bytes of the run.
     """
     reach = length - prefix + 1
     for begin in range(0, max(len(data) - length + 1, 0), PIECE):
@@ -59,36 +63,43 @@ def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: in
         new[1:] = (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(valid)) - 1
-        at = chosen[first]
-        yield text[first], at + begin, valid[first] + begin, valid[last] + begin, hashes[at]
+        low, high = valid[first], valid[last]
+        stretches = span_hashes(part, low, high + length)
+        yield text[first], low + begin, high + begin, hashes[chosen[first]], stretches
+
+
+def _place(tie: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Tie of a document, first window of a run in it and the number of windows, in one number."""
+    return tie << FIRST_BITS + COUNT_BITS | first << COUNT_BITS | n
 
 
 def _emit_positions(length: int, prefix: int):
-    """Batches of ``(h, id, place)``: the chosen positions of each text; ``place`` is tie and position."""
+    """Batches of ``(h, stretch, id, place)``, one for each run of windows."""
 
     def emit(batch: pa.RecordBatch):
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         data, bounds = text_buffer(batch.column(2))
-        for text, at, _, _, hashes in _piece_windows(data, bounds, length, prefix):
-            place = ties[text] << 32 | at - bounds[text]
-            columns = [hashes.view(np.int64), ids[text], place]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["h", "id", "place"])
+        for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix):
+            place = _place(ties[text], first - bounds[text], last - first + 1)
+            columns = [hashes.view(np.int64), stretches.view(np.int64), ids[text], place]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["h", "stretch", "id", "place"])
 
     return emit
 
 
 def _emit_windows(length: int, prefix: int):
-    """Batches of ``(h, id, place, data)``: runs of windows at shared positions; ``data`` are their bytes."""
+    """Batches of ``(h, id, place, data)`` for the runs that are asked for; ``data`` are their bytes."""
 
     def emit(batch: pa.RecordBatch):
-        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        data, bounds = text_buffer(batch.column(2))
-        shared = batch.column(3)
-        n = shared.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ids, ties = (batch.column(c).to_numpy() for c in ("id", "tie"))
+        data, bounds = text_buffer(batch.column("body"))
+        asked = batch.column("asked")
+        n = asked.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        first = asked.flatten().to_numpy() >> COUNT_BITS & (1 << FIRST_BITS) - 1
         marked = np.zeros(len(data) + 1, bool)
-        marked[np.repeat(bounds[:-1], n) + shared.flatten().to_numpy()] = True
-        for text, at, first, last, hashes in _piece_windows(data, bounds, length, prefix):
-            own = np.flatnonzero(marked[at])
+        marked[np.repeat(bounds[:-1], n) + first] = True
+        for text, first, last, hashes, _ in _piece_windows(data, bounds, length, prefix):
+            own = np.flatnonzero(marked[first])
             for part in range(0, len(own), 20_000):
                 runs = own[part : part + 20_000]
                 size = last[runs] - first[runs] + length
@@ -97,7 +108,7 @@ def _emit_windows(length: int, prefix: int):
                 payload = pa.Array.from_buffers(
                     pa.binary(), len(runs), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)]
                 )
-                place = ties[text[runs]] << 32 | first[runs] - bounds[text[runs]]
+                place = _place(ties[text[runs]], first[runs] - bounds[text[runs]], last[runs] - first[runs] + 1)
                 columns = [pa.array(hashes[runs].view(np.int64)), pa.array(ids[text[runs]]), pa.array(place), payload]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "place", "data"])
 
@@ -108,10 +119,19 @@ def _later_windows(length: int):
     """From runs sorted by group, id and place, the stretches covered by windows that came before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, known = None, np.zeros(0, np.uint64)
+        group, known, before = None, np.zeros(0, np.uint64), None
         for batch in batches:
             for part in range(0, batch.num_rows, 2048):
                 rows = batch.slice(part, 2048)
+                # A row that repeats in the table is one document: its runs count once.
+                keys = [rows.column(i).to_numpy() for i in range(3)]
+                fresh = np.ones(rows.num_rows, bool)
+                fresh[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+                fresh[0] = before != tuple(k[0] for k in keys)
+                before = tuple(k[-1] for k in keys)
+                rows = rows.filter(pa.array(fresh))
+                if not rows.num_rows:
+                    continue
                 h, ids, place = (rows.column(i).to_numpy() for i in range(3))
                 data, bounds = text_buffer(rows.column(3))
                 n = np.diff(bounds) - length + 1
@@ -136,21 +156,24 @@ def _later_windows(length: int):
                 head = found[np.flatnonzero(new)]
                 tail = found[np.append(np.flatnonzero(new)[1:], len(found)) - 1]
                 base = place[row[head]]
-                low = (base & 0xFFFFFFFF) + offset[head]
-                columns = [ids[row[head]], base >> 32, low, (base & 0xFFFFFFFF) + offset[tail] + length]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["id", "tie", "low", "high"])
+                tie, first = base >> FIRST_BITS + COUNT_BITS, base >> COUNT_BITS & (1 << FIRST_BITS) - 1
+                run = _place(tie, first + offset[head], offset[tail] - offset[head] + 1)
+                columns = [pa.array(ids[row[head]]), pa.array(tie), pa.array(run)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "run"])
 
     return run
 
 
-def _removed(texts: pa.Array, lows: pa.Array, highs: pa.Array) -> pa.StructArray:
-    """Bytes, removed bytes, removed runs and the rest of each text."""
+def _removed(texts: pa.Array, lists: list[pa.Array], length: int) -> pa.StructArray:
+    """Bytes, removed bytes, removed runs and the rest of each text, given its repeated runs of windows."""
     data, bounds = text_buffer(texts)
-    n = lows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    base = np.repeat(bounds[:-1], n)
     change = np.zeros(len(data) + 1, np.int32)
-    np.add.at(change, base + lows.flatten().to_numpy(), 1)
-    np.add.at(change, base + highs.flatten().to_numpy(), -1)
+    for runs in lists:
+        n = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        run = runs.flatten().to_numpy()
+        first = np.repeat(bounds[:-1], n) + (run >> COUNT_BITS & (1 << FIRST_BITS) - 1)
+        np.add.at(change, first, 1)
+        np.add.at(change, first + (run & (1 << COUNT_BITS) - 1) - 1 + length, -1)
     gone = np.cumsum(change)[:-1] > 0
     head = gone.copy()
     head[1:] &= ~gone[:-1]
@@ -176,42 +199,53 @@ def remove_repeats(
     of their text, and equal rows count as one document, so neither loses bytes to the other. Other
     columns stay; those named like a result are replaced. An empty table gives an empty one.
     """
-    if not 0 < prefix <= length:
-        raise ValueError("the prefix is a part of the length")
+    if not 0 < prefix <= length < prefix + (1 << COUNT_BITS) - 1:
+        raise ValueError("the prefix is a part of the length, and not too small a part")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID).cast("bigint"))
-    tie = F.xxhash64(body).bitwiseAND(F.lit(0x7FFFFFFF))
+    tie = F.xxhash64(body).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
     narrow = docs.select(key.alias("id"), tie.alias("tie"), body.alias("body"))
-    chosen = map_text(narrow, _emit_positions(length, prefix), "h bigint, id bigint, place bigint")
-    shared = (
-        chosen.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h")))
+    runs = map_text(narrow, _emit_positions(length, prefix), "h bigint, stretch bigint, id bigint, place bigint")
+    group = Window.partitionBy("h")
+    order = Window.partitionBy("h", "stretch").orderBy("id", "place")
+    judged = (
+        runs.withColumn("n", F.count(F.lit(1)).over(group))
+        .withColumn("least", F.min("stretch").over(group))
+        .withColumn("most", F.max("stretch").over(group))
         .filter("n > 1")
-        .select("id", F.shiftright("place", 32).alias("tie"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"))
-        .groupBy("id", "tie")
-        .agg(F.collect_list("at").alias("shared"))
+        .withColumn("nth", F.rank().over(order))
+        .select(
+            "id",
+            F.shiftright("place", FIRST_BITS + COUNT_BITS).alias("tie"),
+            F.when(F.col("nth") > 1, F.col("place")).alias("covered"),
+            F.when((F.col("nth") == 1) & (F.col("least") < F.col("most")), F.col("place")).alias("asked"),
+        )
+        .filter("covered is not null or asked is not null")
     )
-    # Rows that repeat id and text are one document here.
-    once = narrow.join(shared, ["id", "tie"]).dropDuplicates(["id", "tie"])
-    runs = map_text(once, _emit_windows(length, prefix), "h bigint, id bigint, place bigint, data binary")
+    by_doc = judged.groupBy("id", "tie").agg(F.collect_list("covered").alias("covered"), F.collect_list("asked").alias("asked"))
+    by_doc = write_table(by_doc, "runs")
+    # Both joins below deal the texts out alike, so they are shuffled once.
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text]).alias("row")
+    keyed = docs.select(whole, key.alias("id"), tie.alias("tie"), body.alias("body"))
+    asking = keyed.join(by_doc.filter(F.size("asked") > 0).select("id", "tie", "asked").hint("shuffle_merge"), ["id", "tie"])
     order = ["h", "id", "place"]
     later = (
-        runs.repartition("h")
+        map_text(asking, _emit_windows(length, prefix), "h bigint, id bigint, place bigint, data binary")
+        .repartition("h")
         .sortWithinPartitions(*order)
-        .mapInArrow(_later_windows(length), "id bigint, tie bigint, low bigint, high bigint")
+        .mapInArrow(_later_windows(length), "id bigint, tie bigint, run bigint")
         .groupBy("id", "tie")
-        .agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
-        .select(F.col("id").alias("span_id"), F.col("tie").alias("span_tie"), "low", "high")
+        .agg(F.collect_list("run").alias("later"))
     )
 
     def cut(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for texts, lows, highs in batches:
-            yield _removed(texts, lows, highs)
+        for texts, *lists in batches:
+            yield _removed(texts, lists, length)
 
     removed = F.arrow_udf(cut, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>").asNondeterministic()
-    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text]).alias("row")
-    keyed = docs.select(whole, key.alias("id"), tie.alias("tie"), body.alias("body"))
-    joined = keyed.join(later, (keyed["id"] == later["span_id"]) & (keyed["tie"] == later["span_tie"]), "left")
-    found = joined.select("row", removed("body", "low", "high").alias("found"))
+    joined = keyed.join(by_doc.select("id", "tie", "covered").hint("shuffle_merge"), ["id", "tie"], "left")
+    joined = joined.join(later.hint("shuffle_merge"), ["id", "tie"], "left")
+    found = joined.select("row", removed("body", "covered", "later").alias("found"))
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c != text and c.lower() not in results]
     return found.select(*kept, *[F.col(f"found.{c}").alias(c) for c in results])
