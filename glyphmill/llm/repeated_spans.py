@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphmill.llm.columns import map_text, text_buffer
-from glyphmill.llm.word_hashes import span_hashes
+from glyphmill.llm.word_hashes import P1, P2, span_hashes
 from glyphmill.session import write_table
 
 LENGTH = 100
@@ -74,15 +74,36 @@ def _place(tie: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _emit_positions(length: int, prefix: int):
-    """Batches of ``(h, stretch, id, place)``, one for each run of windows."""
+    """Batches of ``(h, stretch, id, place, later)``, one row for each run of windows.
+
+    Of equal stretches in a batch all but the first are known to be later ones. They need no group any
+    more and get a number of their own as ``h``, so a passage that many documents share sends one row
+    per batch to its group.
+    """
 
     def emit(batch: pa.RecordBatch):
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         data, bounds = text_buffer(batch.column(2))
+        parts = []
         for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix):
-            place = _place(ties[text], first - bounds[text], last - first + 1)
-            columns = [hashes.view(np.int64), stretches.view(np.int64), ids[text], place]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["h", "stretch", "id", "place"])
+            parts.append((hashes, stretches, ids[text], _place(ties[text], first - bounds[text], last - first + 1)))
+        if not parts:
+            return
+        h, stretch, own, place = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((place, own, stretch ^ h))
+        h, stretch, own, place = h[order], stretch[order], own[order], place[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (stretch[1:] != stretch[:-1])
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        # Equal rows of the table are one document, none of which is later than the other.
+        later = (own != own[lead]) | (place != place[lead])
+        with np.errstate(over="ignore"):
+            alone = (own.view(np.uint64) * P1 ^ place.view(np.uint64)) * P2
+        h = np.where(later, alone ^ alone >> np.uint64(32), h)
+        for i in range(0, len(h), 100_000):
+            part = slice(i, i + 100_000)
+            columns = [h[part].view(np.int64), stretch[part].view(np.int64), own[part], place[part], later[part]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["h", "stretch", "id", "place", "later"])
 
     return emit
 
@@ -205,20 +226,20 @@ def remove_repeats(
     key = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID).cast("bigint"))
     tie = F.xxhash64(body).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
     narrow = docs.select(key.alias("id"), tie.alias("tie"), body.alias("body"))
-    runs = map_text(narrow, _emit_positions(length, prefix), "h bigint, stretch bigint, id bigint, place bigint")
-    group = Window.partitionBy("h")
-    order = Window.partitionBy("h", "stretch").orderBy("id", "place")
+    runs = map_text(narrow, _emit_positions(length, prefix), "h bigint, stretch bigint, id bigint, place bigint, later boolean")
+    group = Window.partitionBy("h", "later")
+    order = Window.partitionBy("h", "later", "stretch").orderBy("id", "place")
     judged = (
         runs.withColumn("n", F.count(F.lit(1)).over(group))
         .withColumn("least", F.min("stretch").over(group))
         .withColumn("most", F.max("stretch").over(group))
-        .filter("n > 1")
+        .filter("n > 1 or later")
         .withColumn("nth", F.rank().over(order))
         .select(
             "id",
             F.shiftright("place", FIRST_BITS + COUNT_BITS).alias("tie"),
-            F.when(F.col("nth") > 1, F.col("place")).alias("covered"),
-            F.when((F.col("nth") == 1) & (F.col("least") < F.col("most")), F.col("place")).alias("asked"),
+            F.when(F.col("later") | (F.col("nth") > 1), F.col("place")).alias("covered"),
+            F.when(~F.col("later") & (F.col("nth") == 1) & (F.col("least") < F.col("most")), F.col("place")).alias("asked"),
         )
         .filter("covered is not null or asked is not null")
     )
