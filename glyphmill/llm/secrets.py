@@ -64,52 +64,70 @@ def _mean(values: Column) -> Column:
     return total / F.greatest(F.size(values), F.lit(1))
 
 
-def _p_value(token: Column, alphabet: str, ordinary: float) -> Column:
-    """How likely an ordinary string repeats characters as little as ``token``; one if it is not random."""
-    k = float(len(alphabet))
+def token_p_value(token: Column) -> Column:
+    """How likely an ordinary string of the encoding that the token fits repeats characters as little.
+
+    One if no encoding fits, or if chi-squared, runs or serial correlation are not those of a random
+    string.
+    """
+    chosen = F.struct(F.lit(None).cast("string").alias("alphabet"), F.lit(None).cast("double").alias("ordinary"))
+    for _, fits, alphabet, ordinary in reversed(ENCODINGS):
+        own = F.struct(F.lit(alphabet).alias("alphabet"), F.lit(ordinary).alias("ordinary"))
+        chosen = F.when(token.rlike(fits), own).otherwise(chosen)
     plain = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
-    index = F.transform(chars, lambda c: F.greatest(F.instr(F.lit(alphabet), c) - 1, F.lit(0)).cast("double"))
 
-    def tests(index: Column) -> Column:
+    def place(encoding: Column) -> Column:
+        index = F.transform(chars, lambda c: F.greatest(F.instr(encoding["alphabet"], c) - 1, F.lit(0)).cast("double"))
+        return F.struct(index.alias("index"), F.length(encoding["alphabet"]).cast("double").alias("k"), encoding["ordinary"].alias("ordinary"))
+
+    def centre(placed: Column) -> Column:
+        return F.struct(*[placed[c].alias(c) for c in ("index", "k", "ordinary")], _mean(placed["index"]).alias("mean"))
+
+    def tests(placed: Column) -> Column:
+        index, k, ordinary, mean = (placed[c] for c in ("index", "k", "ordinary", "mean"))
         n = F.size(index).cast("double")
         counts = F.transform(
-            F.sequence(F.lit(0), F.lit(len(alphabet) - 1)),
-            lambda j: F.size(F.filter(index, lambda x: x == j)).cast("double"),
+            F.sequence(F.lit(0), k.cast("int") - 1), lambda j: F.size(F.filter(index, lambda x: x == j)).cast("double")
+        )
+        half = F.transform(index, lambda x: F.when(x >= k / 2, 1.0).otherwise(0.0))
+        return F.struct(
+            n.alias("n"),
+            k.alias("k"),
+            ordinary.alias("ordinary"),
+            F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c).alias("squares"),
+            F.aggregate(half, F.lit(0.0), lambda a, x: a + x).alias("high"),
+            F.aggregate(_neighbours(half, lambda a, b: F.abs(a - b)), F.lit(1.0), lambda a, x: a + x).alias("runs"),
+            F.aggregate(index, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)).alias("power"),
+            F.aggregate(_neighbours(index, lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda a, x: a + x).alias("serial"),
         )
-        squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
+
+    def decide(t: Column) -> Column:
+        n, k, ordinary, squares = t["n"], t["k"], t["ordinary"], t["squares"]
         repeats = F.try_divide(squares - n, n * (n - 1))
-        spread = F.try_divide(F.lit(4 * FREQUENCY_SPREAD), n) + F.try_divide(F.lit(2 * ordinary * (1 - ordinary)), n * n)
+        spread = F.try_divide(F.lit(4 * FREQUENCY_SPREAD), n) + F.try_divide(2 * ordinary * (1 - ordinary), n * n)
         p_ordinary = _tail(F.try_divide(ordinary - repeats, F.sqrt(spread)))
         # Wilson and Hilferty: the cube root of chi-squared over its mean is nearly normal.
-        chi = F.try_divide(squares * k, n) - n
-        p_chi = _tail((F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - 2 / (9 * (k - 1)))) / (2 / (9 * (k - 1))) ** 0.5)
-        half = F.transform(index, lambda x: F.when(x >= k / 2, 1.0).otherwise(0.0))
-        high = F.aggregate(half, F.lit(0.0), lambda a, x: a + x)
-        low = n - high
-        pairs = F.zip_with(F.slice(half, F.lit(1), F.size(half) - 1), F.slice(half, F.lit(2), F.size(half) - 1), lambda a, b: F.abs(a - b))
-        runs = 1 + F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
-        runs_mean = 1 + F.try_divide(2 * high * low, n)
+        chi, few = F.try_divide(squares * k, n) - n, F.try_divide(F.lit(2.0), 9 * (k - 1))
+        p_chi = _tail(F.try_divide(F.pow(F.try_divide(chi, k - 1), F.lit(1 / 3)) - (1 - few), F.sqrt(few)))
+        runs_mean = 1 + F.try_divide(2 * t["high"] * (n - t["high"]), n)
         runs_spread = F.try_divide((runs_mean - 1) * (runs_mean - 2), n - 1)
-        p_runs = F.when(runs_spread > 0, 2 * _tail(F.try_divide(F.abs(runs - runs_mean), F.sqrt(runs_spread)))).otherwise(0.0)
-        centred = F.transform(index, lambda x: x - _mean(index))
-        power = F.aggregate(centred, F.lit(0.0), lambda a, x: a + x * x)
-        lagged = F.zip_with(F.slice(centred, F.lit(1), F.size(half) - 1), F.slice(centred, F.lit(2), F.size(half) - 1), lambda a, b: a * b)
-        serial = F.aggregate(lagged, F.lit(0.0), lambda a, x: a + x)
-        p_serial = F.when(power > 0, 2 * _tail(F.abs(F.try_divide(serial, power) + F.try_divide(F.lit(1.0), n)) * F.sqrt(n))).otherwise(0.0)
+        p_runs = F.when(runs_spread > 0, 2 * _tail(F.try_divide(F.abs(t["runs"] - runs_mean), F.sqrt(runs_spread)))).otherwise(0.0)
+        lag = F.abs(F.try_divide(t["serial"], t["power"]) + F.try_divide(F.lit(1.0), n)) * F.sqrt(n)
+        p_serial = F.when(t["power"] > 0, 2 * _tail(lag)).otherwise(0.0)
         random = F.least(p_chi, p_runs, p_serial) >= NOT_RANDOM / 3
         return F.coalesce(F.when(random, p_ordinary), F.lit(1.0))
 
-    # One element, so that what all tests look at is made once.
-    return F.element_at(F.transform(F.array(index), tests), 1)
+    # Arrays of one element, so that what later steps look at more than once is made once.
+    steps = F.array(chosen)
+    for step in (place, centre, tests, decide):
+        steps = F.transform(F.filter(steps, lambda e: e["ordinary"].isNotNull()), step)
+    return F.coalesce(F.get(steps, 0), F.lit(1.0))
 
 
-def token_p_value(token: Column) -> Column:
-    """p-value of a token under the encoding that its characters fit; one if none does."""
-    value = F.lit(1.0)
-    for _, fits, alphabet, ordinary in reversed(ENCODINGS):
-        value = F.when(token.rlike(fits), _p_value(token, alphabet, ordinary)).otherwise(value)
-    return value
+def _neighbours(values: Column, combine) -> Column:
+    few = F.greatest(F.size(values) - 1, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), few), F.slice(values, F.lit(2), few), combine)
 
 
 def _length_class(token: Column) -> Column:
@@ -192,8 +210,13 @@ def random_spans(text: Column, steps: dict[int, int]) -> Column:
     def found(token: Column) -> Column:
         return F.coalesce(_step(token_p_value(token)) >= F.element_at(least, _length_class(token)), F.lit(False))
 
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), 0)
-    return _when_any(text, F.exists(tokens, found), F.filter(_matches(text, TOKEN), lambda s: found(s["value"])))
+    return _when_any(text, text.rlike(TOKEN), F.filter(_matches(text, TOKEN), lambda s: found(s["value"])))
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later columns look at without computing it again: an explode of one element,
+    which the optimizer does not merge into what follows."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
@@ -206,10 +229,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> D
     mark = own_name(docs, "spans")
     steps = discovery_steps(docs.select(docs[f"`{text}`"].alias("text")))
     known = base_spans(docs[f"`{text}`"])
-    scanned = docs.withColumn(
-        mark,
-        F.struct(*[spans.alias(kind) for kind, spans in known.items()], random_spans(docs[f"`{text}`"], steps).alias("random")),
-    )
+    parts = [*[spans.alias(kind) for kind, spans in known.items()], random_spans(docs[f"`{text}`"], steps).alias("random")]
+    scanned = _once(docs, mark, F.struct(*parts))
     base = F.flatten(F.array(*[F.col(f"{mark}.{kind}") for kind in KINDS[:3]]))
     apart = F.filter(
         F.col(f"{mark}.random"),
@@ -240,7 +261,7 @@ def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     without a find are as before, NULL texts included.
     """
     spans = own_name(docs, "secrets")
-    found = scan_secrets(docs, text, spans)
+    found = _once(scan_secrets(docs, text, f"{spans}_all"), spans, F.col(f"{spans}_all"))
     whole = found[f"`{text}`"]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -255,12 +276,14 @@ def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col(spans), start, add, lambda done: F.concat(done["out"], F.substring(whole, done["at"] + 1, F.lit(2**31 - 1)))
     )
     changed = F.size(spans) > 0
+    body = own_name(docs, "clean")
+    found = _once(found, body, F.when(changed, clean).otherwise(whole))
     columns = []
     for c in docs.columns:
         value = found[f"`{c}`"]
         if c == text:
-            value = F.when(changed, clean).otherwise(value)
+            value = F.col(body)
         elif c.lower() == "n_chars":
-            value = F.when(changed, F.length(clean).cast(docs.schema[c].dataType)).otherwise(value)
+            value = F.when(changed, F.length(body).cast(docs.schema[c].dataType)).otherwise(value)
         columns.append(value.alias(c))
     return found.select(*columns)
