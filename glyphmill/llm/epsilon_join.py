@@ -25,8 +25,10 @@ from glyphmill.session import write_table
 GRID_DIMS, BOX_DIMS = 3, 12
 # Vectors the principal dimensions are fitted on; they only decide how much is skipped.
 FIT_ROWS = 4096
-BLOCK_ROWS = 1024
+# Numbers a block may hold: 8,192 vectors of 64 dimensions.
+BLOCK_NUMBERS = 8192 * 64
 LEAF_ROWS = 128
+BLOCK_COLUMNS = ["block", "dim", "from_cell", "to_cell", "low", "high", "ids", "n", "data"]
 # Room for rounding in bounds of distances.
 ROUNDING = 1e-9
 
@@ -66,26 +68,25 @@ def join_blocks(a: np.ndarray, b: np.ndarray, box_a: np.ndarray, box_b: np.ndarr
 
 
 def _blocks(directions: dict[int, np.ndarray]):
-    """Vectors sorted by cell and projection become blocks of one cell, with boxes."""
+    """Vectors sorted by cell and projection become blocks with their first cells and boxes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
-            cells = np.stack([batch.column(f"c{i}").to_numpy() for i in range(GRID_DIMS)], axis=1)
-            change = np.append(True, (dims[1:] != dims[:-1]) | (cells[1:] != cells[:-1]).any(axis=1))
-            for first, last in zip(np.flatnonzero(change), np.append(np.flatnonzero(change)[1:], len(dims))):
-                for i in range(first, last, BLOCK_ROWS):
-                    part = batch.slice(i, min(BLOCK_ROWS, last - i))
-                    dim = int(dims[i])
-                    ids = part.column("id").to_numpy()
+            starts = np.flatnonzero(np.append(True, dims[1:] != dims[:-1]))
+            for first, last in zip(starts.tolist(), np.append(starts[1:], len(dims)).tolist()):
+                dim = int(dims[first])
+                step = max(1, BLOCK_NUMBERS // dim)
+                for i in range(first, last, step):
+                    part = batch.slice(i, min(step, last - i))
+                    ids, cells = part.column("id").to_numpy(), part.column("c0").to_numpy()
                     unit = part.column("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                     box = unit @ directions[dim]
-                    values = [int(ids[0]), dim, *cells[i].tolist(), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
+                    values = [int(ids[0]), dim, int(cells[0]), int(cells[-1]), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
                     values += [ids.tobytes(), part.column("n").to_numpy().tobytes(), np.ascontiguousarray(unit).tobytes()]
-                    kinds = [pa.int64(), pa.int32(), *[pa.int32()] * GRID_DIMS, *[pa.list_(pa.float64())] * 2, *[pa.binary()] * 3]
+                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.list_(pa.float64())] * 2, *[pa.binary()] * 3]
                     arrays = [pa.array([v], k) for v, k in zip(values, kinds)]
-                    names = ["block", "dim", *(f"c{k}" for k in range(GRID_DIMS)), "low", "high", "ids", "n", "data"]
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+                    yield pa.RecordBatch.from_arrays(arrays, names=BLOCK_COLUMNS)
 
     return run
 
@@ -181,12 +182,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, vec_id: str = "vec_id
     else:
         run, schema = _cells(directions, epsilon)
         order = ["dim", *(f"c{i}" for i in range(GRID_DIMS)), "next"]
-        ordered = units.mapInArrow(run, schema).repartitionByRange(*order).sortWithinPartitions(*order)
-        cells = ", ".join(f"c{i} int" for i in range(GRID_DIMS))
+        numbers = units.agg(F.sum(F.size("unit"))).first()[0]
+        parts = max(1, math.ceil(numbers / BLOCK_NUMBERS))
+        ordered = units.mapInArrow(run, schema).repartitionByRange(parts, *order).sortWithinPartitions(*order)
         boxes = "low array<double>, high array<double>, ids binary, n binary, data binary"
-        blocks = write_table(
-            ordered.mapInArrow(_blocks(directions), f"block bigint, dim int, {cells}, {boxes}"), "blocks"
-        )
+        columns = f"block bigint, dim int, from_cell int, to_cell int, {boxes}"
+        blocks = write_table(ordered.mapInArrow(_blocks(directions), columns), "blocks")
         found = write_table(_pairs(blocks, epsilon).mapInArrow(_links(cosine, directions), "is_link boolean, a bigint, b bigint"), "vector-links")
         counts = found.filter("not is_link").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("links"))
         roots = connected_components(found.filter("is_link"))
@@ -204,20 +205,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, vec_id: str = "vec_id
 
 def _pairs(blocks: DataFrame, epsilon: float) -> DataFrame:
     """Pairs of blocks of neighbouring cells whose boxes are within epsilon, each once, with their data."""
-    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    cells = [f"c{i}" for i in range(GRID_DIMS)]
-    left = blocks.select("block", "dim", "low", "high", *cells)
-    for c in cells:
-        left = left.withColumn("step", F.explode(steps)).withColumn(c, F.col(c) + F.col("step")).drop("step")
-    right = blocks.select(F.col("block").alias("other"), "dim", F.col("low").alias("low2"), F.col("high").alias("high2"), *cells)
+    cells = F.explode(F.sequence(F.col("from_cell") - 1, F.col("to_cell") + 1)).alias("cell")
+    left = blocks.select("block", "dim", "low", "high", cells)
+    cells = F.explode(F.sequence("from_cell", "to_cell")).alias("cell")
+    right = blocks.select(F.col("block").alias("other"), "dim", F.col("low").alias("low2"), F.col("high").alias("high2"), cells)
     gaps = F.zip_with(
         F.zip_with("low", "high2", lambda a, b: a - b), F.zip_with("low2", "high", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0))
     )
     near = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g) <= epsilon * epsilon
-    pairs = left.join(right, ["dim", *cells]).filter(F.col("block") <= F.col("other")).filter(near).select("block", "other")
+    pairs = left.join(right, ["dim", "cell"]).filter(F.col("block") <= F.col("other")).filter(near).select("block", "other")
     data = blocks.select("block", "dim", "ids", "n", "data")
     other = blocks.select(
         F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("n").alias("other_n"), F.col("data").alias("other_data")
     )
-    # Spread by both blocks, so that a block with many partners is not one task's work.
-    return pairs.join(data, "block").join(other, "other").repartition("block", "other")
+    return pairs.distinct().join(data, "block").join(other, "other")

@@ -40,9 +40,9 @@ def plain_join(rows, cosine):
         least = new
 
 
-@pytest.mark.parametrize("seed, block, leaf", [(1, 1024, 128), (2, 7, 3)])
+@pytest.mark.parametrize("seed, block, leaf", [(1, 1 << 19, 128), (2, 60, 3)])
 def test_join_matches_brute_force(spark, monkeypatch, seed, block, leaf):
-    monkeypatch.setattr(epsilon_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(epsilon_join, "BLOCK_NUMBERS", block)
     monkeypatch.setattr(epsilon_join, "LEAF_ROWS", leaf)
     rows = with_oddities(clusters(seed))
     rows += [(20_000 + i, rows[3][1], 1) for i in range(30)]
