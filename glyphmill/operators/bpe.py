@@ -214,17 +214,19 @@ def train_merges(
     """Greedy merges of a word table ``(sym, cnt)``.
 
     With ``run_dir`` the word table and the merges so far are committed there each time the table
-    is rewritten, and a later call with the same folder goes on from the last commit.
+    is rewritten, and a later call with the same folder goes on from the last commit. A folder of
+    another word table is refused.
     """
     spark = words.sparkSession
+    mark = state.fingerprint(words) if run_dir else ""
     run_dir = run_dir or state.new_run(spark, "bpe")
     trained = TrainedMerges()
     step = state.latest_step(spark, run_dir)
     if step is None:
-        state.save_step(spark, run_dir, 0, words=mergeable(words), merges=_merge_rows(spark, trained))
+        state.save_step(spark, run_dir, 0, mark, words=mergeable(words), merges=_merge_rows(spark, trained))
         step = 0
     else:
-        for row in state.load_step(spark, run_dir, step)["merges"].orderBy("rank").collect():
+        for row in state.load_step(spark, run_dir, step, mark)["merges"].orderBy("rank").collect():
             trained.merges.append((row["l"], row["r"]))
             trained.counts.append(row["n"])
         trained.merges, trained.counts = trained.merges[:n_merges], trained.counts[:n_merges]
@@ -252,7 +254,7 @@ def train_merges(
         uncommitted += 1
         if uncommitted == commit_rounds:
             step, uncommitted = step + 1, 0
-            state.save_step(spark, run_dir, step, words=mergeable(merged), merges=_merge_rows(spark, trained))
+            state.save_step(spark, run_dir, step, mark, words=mergeable(merged), merges=_merge_rows(spark, trained))
             current = _spread_words(spark, run_dir, step)
             for old in [*held, before]:
                 old.unpersist()

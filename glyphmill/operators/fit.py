@@ -22,6 +22,10 @@ from glyphmill.session import local_table
 from glyphmill.sources import state
 
 
+# Classes a model may have: its parameters are held by the driver and every task.
+MAX_CLASSES = 100_000
+
+
 @dataclass(frozen=True)
 class Settings:
     steps: int
@@ -122,18 +126,22 @@ def fit_softmax_regression(
     """Fit by full-batch AdamW with clipped gradients and a warm-up and cosine rate.
 
     With ``run_dir`` the model is committed there every ``save_every`` steps, and a later call with
-    the same folder goes on from the last commit.
+    the same folder goes on from the last commit; rows or settings other than its own are refused.
     """
     spark = rows.sparkSession
     rows = rows.select(features, label).filter(f"{features} is not null and {label} is not null").persist()
+    if not 0 < n_classes <= MAX_CLASSES:
+        raise ValueError(f"a model has between one and {MAX_CLASSES} classes")
     committed = state.latest_step(spark, run_dir) if run_dir else None
+    same = {k: v for k, v in settings.__dict__.items() if k not in ("steps", "save_every")}
+    mark = state.fingerprint(rows, n_classes, sorted(same.items())) if run_dir else ""
     if committed is None:
         n_features = rows.select(F.max(F.size(features))).first()[0]
         if n_features is None:
             raise ValueError("no rows to fit")
         model = Model.zeros(n_classes, n_features)
     else:
-        model = load_model(spark, run_dir, committed)
+        model = load_model(spark, run_dir, committed, mark)
     while model.step < settings.steps:
         w = spark.sparkContext.broadcast(model.w)
         totals = {r["idx"]: r["total"] for r in gradient_sums(rows, features, label, w).collect()}
@@ -147,12 +155,12 @@ def fit_softmax_regression(
         adamw_update(model, grad, rate, settings)
         model.trace.append((step, rate, totals[-2] / n, norm))
         if run_dir and settings.save_every and model.step % settings.save_every == 0:
-            save_model(spark, run_dir, model)
+            save_model(spark, run_dir, model, mark)
     rows.unpersist()
     return model
 
 
-def save_model(spark: SparkSession, run_dir: str, model: Model) -> None:
+def save_model(spark: SparkSession, run_dir: str, model: Model, mark: str = "") -> None:
     values = [
         (name, i, float(v))
         for name in ("w", "m", "v")
@@ -163,15 +171,16 @@ def save_model(spark: SparkSession, run_dir: str, model: Model) -> None:
         spark,
         run_dir,
         model.step,
+        mark,
         state=local_table(spark, values, STATE),
         trace=trace_table(spark, model),
     )
 
 
-def load_model(spark: SparkSession, run_dir: str, step: int | None = None) -> Model:
+def load_model(spark: SparkSession, run_dir: str, step: int | None = None, mark: str | None = None) -> Model:
     """Model of a committed step, by default the last one."""
     step = state.latest_step(spark, run_dir) if step is None else step
-    tables = state.load_step(spark, run_dir, step)
+    tables = state.load_step(spark, run_dir, step, mark)
     values: dict[str, dict[int, float]] = {}
     for row in tables["state"].collect():
         values.setdefault(row["name"], {})[row["idx"]] = row["value"]

@@ -19,32 +19,39 @@ def group_log_sum_exp(rows: DataFrame, keys: Sequence[str], score: str) -> DataF
 
     A band's sum lies between 1 and exp(64) per row, so nothing overflows and the highest band is
     never lost. Bands are partial aggregates like any other, and a group of any size stays spread
-    over all tasks until only its bands are left.
+    over all tasks until only its bands are left. NULL is a group, no keys make one group. A score of
+    ``-inf`` adds nothing; with NaN or ``inf`` in a group, or nothing but ``-inf``, ``log_norm`` is NaN.
     """
-    band = F.floor(F.col(score) / BAND)
+    value = F.col(score).cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    band = F.when(finite, F.floor(value / BAND).cast("double"))
     bands = (
-        rows.filter(F.col(score).isNotNull())
+        rows.filter(value.isNotNull())
         .groupBy(*keys, band.alias("band"))
         .agg(
-            F.sum(F.exp(F.col(score) - band * BAND)).alias("part"),
+            F.sum(F.when(finite, F.exp(value - band * BAND))).alias("part"),
+            F.max(F.isnan(value) | (value == float("inf"))).alias("undefined"),
             F.count(F.lit(1)).alias("n_rows"),
         )
     )
     top = F.max("band").over(Window.partitionBy(*keys))
+    total = F.sum(F.col("part") * F.exp((F.col("band") - F.col("top")) * BAND))
+    defined = ~F.max("undefined") & F.max("top").isNotNull()
     return (
         bands.withColumn("top", top)
         .groupBy(*keys)
         .agg(
-            (F.max("top") * BAND + F.log(F.sum(F.col("part") * F.exp((F.col("band") - F.col("top")) * BAND)))).alias(
-                "log_norm"
-            ),
+            F.when(defined, F.max("top") * BAND + F.log(total)).otherwise(F.lit(float("nan"))).alias("log_norm"),
             F.sum("n_rows").alias("n_rows"),
         )
     )
 
 
 def group_softmax(rows: DataFrame, keys: Sequence[str], score: str, out: str = "p") -> DataFrame:
-    """Add ``exp(score) / sum(exp(score))`` within each group; rows without a score are left out."""
+    """Add ``exp(score) / sum(exp(score))`` within each group; rows without a score are left out.
+
+    A masked score, ``-inf``, gets probability 0. Without keys all rows are one group.
+    """
     norms = group_log_sum_exp(rows, keys, score)
     return (
         attach_by_key(rows.filter(F.col(score).isNotNull()), norms, keys, "n_rows")
@@ -66,10 +73,11 @@ def cross_entropy(rows: DataFrame, logits: str, target: str, keys: Sequence[str]
 
 
 def clip_global_norm(
-    grads: DataFrame, max_norm: float, keys: Sequence[str], grad: str = "grad"
+    grads: DataFrame, max_norm: float, keys: Sequence[str] = (), grad: str = "grad"
 ) -> DataFrame:
     """Scale all gradients of a group by one factor when their common L2 norm exceeds ``max_norm``.
 
+    Without keys all gradients have one norm; a NULL key is a group.
     A NULL gradient belongs to a frozen parameter: it adds nothing to the norm and stays NULL.
     """
     norms = grads.groupBy(*keys).agg(

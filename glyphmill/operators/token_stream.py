@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from glyphmill.operators.joins import BROADCAST_ROWS
 from glyphmill.session import write_table
 
 
@@ -25,34 +29,53 @@ class TokenStream:
     overlap: int
 
 
-def document_offsets(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", extra: int = 0) -> DataFrame:
-    """``(doc_id, n, offset)``: where each document starts in the stream ordered by ``doc_id``.
+def _running(doc_id: str):
+    """Adds to rows sorted by ``doc_id`` their task and the tokens before them in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, last = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(doc_id)
+            if names.null_count:
+                raise ValueError("a document has no id")
+            if (last is not None and names[0].as_py() == last) or len(names.unique()) < len(names):
+                raise ValueError("a document id repeats")
+            last = names[-1].as_py()
+            n = batch.column("n").to_numpy()
+            inside = before + np.cumsum(n) - n
+            before += int(n.sum())
+            columns = [*batch.columns, pa.array(np.full(len(n), part, np.int32)), pa.array(inside)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "part", "inside"])
+
+    return run
 
-    Documents are cut into ranges of ``doc_id``, and the ranges are written so that they are the same
-    in every later job. Sums run inside a range; only the totals of the ranges, one row per task, are
-    added up in one place.
+
+def placed_documents(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", extra: int = 0) -> DataFrame:
+    """``(doc_id, ids, n, offset)``: the id arrays and where each document starts in the stream.
+
+    The documents are dealt into ranges of ``doc_id`` once, each task adds up its own range, and the
+    ranges are written so that they are the same in every later job. Only their totals, one row per
+    task, are added up in one place. A NULL or repeated ``doc_id`` fails the job.
     """
-    ranged = write_table(
-        encoded.select(doc_id, (F.size(ids) + extra).cast("bigint").alias("n"))
-        .filter(F.col(ids).isNotNull())
-        .repartitionByRange(doc_id)
-        .withColumn("part", F.spark_partition_id()),
-        "ranges",
-    )
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    kept = encoded.filter(F.col(ids).isNotNull()).select(doc_id, ids, (F.size(ids) + extra).cast("bigint").alias("n"))
+    ranged = kept.repartitionByRange(doc_id).sortWithinPartitions(doc_id)
+    schema = T.StructType([*kept.schema, T.StructField("part", T.IntegerType()), T.StructField("inside", T.LongType())])
+    ranged = write_table(ranged.mapInArrow(_running(doc_id), schema), "ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("part").agg(F.sum("n").alias("n"))
-    bases = totals.select(
-        "part",
-        F.coalesce(F.sum("n").over(before.orderBy("part")), F.lit(0)).alias("base"),
-    )
-    inside = F.coalesce(F.sum("n").over(before.partitionBy("part").orderBy(doc_id)), F.lit(0))
-    return (
-        ranged.withColumn("inside", inside)
-        .join(F.broadcast(bases), "part")
-        .select(doc_id, "n", (F.col("base") + F.col("inside")).alias("offset"))
+    bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return ranged.join(F.broadcast(bases), "part").select(
+        doc_id, ids, "n", (F.col("base") + F.col("inside")).alias("offset")
     )
 
 
+def document_offsets(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", extra: int = 0) -> DataFrame:
+    """``(doc_id, n, offset)``: where each document starts in the stream ordered by ``doc_id``."""
+    return placed_documents(encoded, doc_id, ids, extra).drop(ids)
+
+
 def token_stream(
     encoded: DataFrame,
     block_size: int,
@@ -63,16 +86,12 @@ def token_stream(
 ) -> TokenStream:
     """Concatenate the id arrays of all documents in ``doc_id`` order and cut them into blocks.
 
-    With ``separator_id`` that token ends every document. ``doc_id`` must be unique. The id arrays
-    are shuffled to their offset and then to their blocks, and a block never holds more than
-    ``block_size + overlap`` tokens.
+    With ``separator_id`` that token ends every document. ``doc_id`` must be unique and not NULL. The
+    id arrays are dealt into ranges and then to their blocks, and a block never holds more than
+    ``block_size + overlap`` tokens. The blocks are written once.
     """
-    encoded = write_table(encoded.select(doc_id, ids), "encoded")
     extra = 0 if separator_id is None else 1
-    offsets = write_table(document_offsets(encoded, doc_id, ids, extra).filter("n > 0"), "offsets")
-    n_docs, n_tokens = offsets.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    # Hashing the narrow side spares sorting the id arrays.
-    located = F.broadcast(offsets) if n_docs <= BROADCAST_ROWS else offsets.hint("shuffle_hash")
+    placed = placed_documents(encoded, doc_id, ids, extra).filter("n > 0")
     whole = F.col(ids) if separator_id is None else F.concat(F.col(ids), F.array(F.lit(separator_id)))
 
     def piece(block: Column) -> Column:
@@ -86,10 +105,8 @@ def token_stream(
 
     first_block = F.greatest(F.call_function("div", F.col("offset") - overlap, F.lit(block_size)), F.lit(0))
     last_block = F.call_function("div", F.col("offset") + F.col("n") - 1, F.lit(block_size))
-    pieces = (
-        encoded.join(located, doc_id)
-        .select("offset", "n", whole.alias("whole"))
-        .select(F.inline(F.transform(F.sequence(first_block, last_block), piece)))
+    pieces = placed.select("offset", "n", whole.alias("whole")).select(
+        F.inline(F.transform(F.sequence(first_block, last_block), piece))
     )
     in_order = F.sort_array(F.collect_list(F.struct("pos", "tokens")))
     blocks = (
@@ -102,6 +119,8 @@ def token_stream(
             "tokens",
         )
     )
+    blocks = write_table(blocks, "stream-blocks")
+    n_tokens = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     return TokenStream(blocks, n_tokens, block_size, overlap)
 
 

@@ -149,8 +149,15 @@ _SHOWN_IDS = "SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_str
 
 ORACLES = {
     "apply_merge": f"""
-        WITH {_COUNTS}, best AS ({_pairs("words")} ORDER BY n DESC, l DESC, r DESC LIMIT 1)
-        SELECT replace(sym, '<' || l || '><' || r || '>', '<' || l || r || '>') AS sym, cnt FROM words, best""",
+        WITH {_COUNTS.replace("counted AS (", "counted AS MATERIALIZED (")},
+        best AS MATERIALIZED ({_pairs("words")} ORDER BY n DESC, l DESC, r DESC LIMIT 1)
+        SELECT replace(sym, (SELECT '<' || l || '><' || r || '>' FROM best), (SELECT '<' || l || r || '>' FROM best)) AS sym, cnt
+        FROM words""",
+    "array_softmax": f"""
+        WITH {_DIMS}, tops AS (SELECT vec_id, max(x) AS top FROM dims GROUP BY vec_id)
+        SELECT vec_id, CAST(i AS INTEGER) AS idx,
+            round(exp(x - top) / sum(exp(x - top)) OVER (PARTITION BY vec_id), 6) + 0.0 AS p
+        FROM dims JOIN tops USING (vec_id)""",
     "bpe_merges": f'{_TRAINED} SELECT rank, l AS "left", r AS "right", n FROM merges',
     "bpe_vocab": f"{_TRAINED} {_SHOWN_VOCAB}",
     "byte_display": f"""
@@ -175,6 +182,10 @@ ORACLES = {
         ), norms AS (SELECT lang, sqrt(sum(g * g)) AS norm FROM grads GROUP BY lang)
         SELECT doc_id, lang, round(g * least(1.0, 1.0 / (norm + 1e-6)), 6) + 0.0 AS clipped
         FROM grads JOIN norms USING (lang)""",
+    "clip_all_parameters": f"""
+        WITH {_DIMS}, norms AS (SELECT sqrt(sum(x * x)) AS norm FROM dims)
+        SELECT vec_id, CAST(i AS INTEGER) AS idx, round(x * least(1.0, 1.0 / (norm + 1e-6)), 6) + 0.0 AS clipped
+        FROM dims, norms""",
     "context_windows": f"""{_STREAM},
         starts AS ({_STARTS}
             FROM (SELECT count(*) AS n FROM stream) AS total, range((SELECT count(*) // {r.TOKENS_PER_SAMPLE} FROM stream))
@@ -195,12 +206,48 @@ ORACLES = {
             SELECT vec_id, label, ln(sum(exp(x))) - max(x) FILTER (WHERE i = label) AS loss
             FROM dims GROUP BY vec_id, label
         ) GROUP BY label""",
-    "decode_roundtrip": "SELECT doc_id, text AS decoded FROM documents",
+    "decode_roundtrip": f"""{_ENCODED}
+        SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, text AS decoded FROM documents JOIN encoded USING (doc_id)""",
     "embedding_lookup": f"""{_ENCODED}, {_DIMS},
         uses AS (SELECT doc_id, id, count(*) AS n FROM (SELECT doc_id, unnest(ids) AS id FROM encoded) GROUP BY ALL)
         SELECT doc_id, CAST(i AS INTEGER) AS idx, round(sum(n * x) / sum(n), 4) + 0.0 AS mean
         FROM uses JOIN dims ON dims.vec_id = uses.id GROUP BY doc_id, i""",
     "encode_documents": f"{_ENCODED} {_SHOWN_IDS}",
+    "encode_from_files": f"""{_TRAINED},
+        marked AS (
+            SELECT conv_id, turn, regexp_replace(
+                '<|' || role || '|>' || text || chr(10) || chr(10) || '<|endoftext|><|endoftext|>',
+                '({_SPECIAL_RE})', chr(57345) || '\\1' || chr(57345), 'g') AS m
+            FROM conversations
+        ), flat AS (
+            SELECT conv_id, turn, unnest(range(len(p))) AS seg, unnest(p) AS text
+            FROM (SELECT conv_id, turn, list_filter(string_split(m, chr(57345)), lambda x: x <> '') AS p FROM marked)
+        ), pieces AS (
+            SELECT conv_id, turn, seg, unnest(range(len(t))) AS pos, unnest(t) AS piece
+            FROM (SELECT *, CASE WHEN text IN ({_SPECIAL_LIST}) THEN [text] ELSE {_PRETOKENS} END AS t FROM flat)
+        ), folded AS (
+            SELECT 0 AS k, piece, regexp_replace(hex(piece), '(..)', '<\\1>', 'g') AS sym
+            FROM (SELECT DISTINCT piece FROM pieces WHERE piece NOT IN ({_SPECIAL_LIST}))
+            UNION ALL
+            SELECT k + 1, piece, replace(sym, '<' || l || '><' || r || '>', '<' || l || r || '>')
+            FROM folded JOIN merges ON merges.rank = folded.k
+        ), specials AS (
+            SELECT s AS piece, CASE WHEN s = '{r.SPECIALS[0]}' THEN 0
+                ELSE 257 + {r.N_MERGES} + row_number() OVER (PARTITION BY s = '{r.SPECIALS[0]}' ORDER BY n) - 1 END AS id
+            FROM (SELECT unnest([{_SPECIAL_LIST}]) AS s, unnest(range({len(r.TURN_SPECIALS)})) AS n)
+        ), piece_ids AS (
+            SELECT s.piece, list(v.token_id ORDER BY s.pos) AS ids
+            FROM (
+                SELECT piece, unnest(h) AS token, unnest(range(len(h))) AS pos
+                FROM (SELECT piece, string_split(trim(sym, '<>'), '><') AS h FROM folded WHERE k = {r.N_MERGES})
+            ) s JOIN vocab v ON v.token = s.token AND v.token_id > 0
+            GROUP BY s.piece
+            UNION ALL SELECT piece, [CAST(id AS INTEGER)] FROM specials
+        ), turns AS (
+            SELECT conv_id, turn, flatten(list(ids ORDER BY seg, pos)) AS ids
+            FROM pieces JOIN piece_ids USING (piece) GROUP BY conv_id, turn
+        )
+        SELECT conv_id, turn, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ' ') AS ids FROM turns""",
     "fit_softmax_regression": _fit_trace(),
     "group_softmax": """
         WITH s AS (SELECT doc_id, lang, 4 * ln(n_chars) AS score FROM documents),
@@ -280,10 +327,29 @@ ORACLES = {
             quality::DOUBLE AS expected
         FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id
         WHERE d.doc_id IS NULL OR l.doc_id IS NULL OR (n_chars > 200)::INTEGER <> quality""",
+    "table_diff_exact": """
+        WITH e AS (SELECT doc_id, n_chars::VARCHAR AS n_chars, source, hex(text) AS text FROM documents),
+        a AS (
+            SELECT doc_id, (n_chars + CASE WHEN doc_id % 3 = 0 THEN 9007199254740993 ELSE 0 END)::VARCHAR AS n_chars,
+                CASE WHEN doc_id % 5 = 0 THEN 'src0' ELSE source END AS source, hex(lower(text)) AS text
+            FROM documents WHERE doc_id % 7 <> 0
+        ), both_sides AS (
+            SELECT e.doc_id, unnest(['n_chars', 'source', 'text']) AS col, a.doc_id IS NULL AS missing,
+                unnest([a.n_chars, a.source, md5(a.text)]) AS actual, unnest([e.n_chars, e.source, md5(e.text)]) AS expected
+            FROM e LEFT JOIN a USING (doc_id)
+        )
+        SELECT col AS "column", doc_id::VARCHAR AS key, CAST(0 AS INTEGER) AS idx,
+            CASE WHEN missing THEN 'missing' ELSE 'different' END AS kind, actual, expected
+        FROM both_sides WHERE missing OR actual IS DISTINCT FROM expected""",
     "token_stream": f"""{_STREAM}
         SELECT pos // {r.BLOCK_SIZE} AS block_id, pos // {r.BLOCK_SIZE} * {r.BLOCK_SIZE} AS start_pos,
             CAST(count(*) AS INTEGER) AS n_tokens, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS tokens
         FROM stream GROUP BY pos // {r.BLOCK_SIZE}""",
+    "token_vectors": f"""{_ENCODED},
+        placed AS (SELECT doc_id, unnest(ids) AS token, unnest(range(len(ids))) AS pos FROM encoded)
+        SELECT doc_id, token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum,
+            round(max(CAST(embedding[1] AS DOUBLE)), 4) + 0.0 AS "first", round(min(CAST(embedding[64] AS DOUBLE)), 4) + 0.0 AS "last"
+        FROM placed JOIN embeddings ON vec_id = token GROUP BY doc_id, token""",
     "top_pairs": f"WITH {_COUNTS} {_pairs('words')} ORDER BY n DESC, l DESC, r DESC LIMIT 50",
     "vocab_load": f"{_TRAINED} {_SHOWN_VOCAB}",
     "vocab_specials": f"{_TRAINED} {_SHOWN_VOCAB} UNION ALL SELECT CAST(257 + {r.N_MERGES} AS INTEGER), hex('<|pad|>')",

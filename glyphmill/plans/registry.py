@@ -13,7 +13,7 @@ from glyphmill.functions import schedule, text, vector
 from glyphmill.operators import bpe, codec, counts, diff, fit, metrics, token_stream, vectors
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.schemas import DOCUMENTS
-from glyphmill.session import new_path
+from glyphmill.session import new_path, write_table
 from glyphmill.sources import corpus, tokenizer_files
 from glyphmill.streaming import live
 
@@ -180,10 +180,21 @@ def encode_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _shown_ids(codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf)))
 
 
+def encode_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns with special tokens in their text, encoded by a tokenizer that went through its files."""
+    folder = _written(spark, sf)
+    vocab = tokenizer_files.load_vocab(spark, f"{folder}/vocab.json")
+    merges = tokenizer_files.load_merges(spark, f"{folder}/merges.txt")
+    model = Tokenizer.from_tables(tokenizer_files.append_specials(vocab, TURN_SPECIALS), merges, TURN_SPECIALS)
+    encoded = codec.encode_corpus(_turns(spark, sf), model)
+    shown = F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids")
+    return encoded.select("conv_id", "turn", F.size("ids").alias("n_tokens"), shown)
+
+
 def decode_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     model = _tokenizer(spark, sf)
     encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), model).drop("text")
-    return codec.decode_corpus(encoded, model).select("doc_id", "decoded")
+    return codec.decode_corpus(encoded, model).select("doc_id", F.size("ids").alias("n_tokens"), "decoded")
 
 
 def embedding_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,6 +203,20 @@ def embedding_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return means.select("doc_id", "idx", _rounded("mean"))
 
 
+def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The vector of every token of the documents that has one, as a digest per document and position."""
+    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
+    tokens = encoded.select("doc_id", F.posexplode("ids").alias("pos", "token"))
+    table = _table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("vec_id"), "embedding")
+    found = vectors.embedding_lookup(tokens, table, "token", "vec_id")
+    return found.groupBy("doc_id", "token").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("pos").alias("pos_sum"),
+        (F.round(F.max(F.get("embedding", 0).cast("double")), 4) + 0.0).alias("first"),
+        (F.round(F.min(F.get("embedding", 63).cast("double")), 4) + 0.0).alias("last"),
+    )
+
+
 def _centroids(spark: SparkSession, sf: str) -> DataFrame:
     means = (
         _embeddings(spark, sf)
@@ -252,6 +277,20 @@ def table_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff.table_diff(guess, labels, "doc_id", "quality")
 
 
+def table_diff_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against a copy with a longer count, another source and lower-cased texts."""
+    docs = _documents(spark, sf, "doc_id", "text", "source", "n_chars").withColumn("text", F.encode("text", "UTF-8"))
+    changed = docs.filter("doc_id % 7 <> 0").select(
+        "doc_id",
+        F.encode(F.lower(F.decode("text", "UTF-8")), "UTF-8").alias("text"),
+        F.when(F.col("doc_id") % 5 == 0, "src0").otherwise(F.col("source")).alias("source"),
+        (F.col("n_chars") + F.when(F.col("doc_id") % 3 == 0, 9007199254740993).otherwise(0)).alias("n_chars"),
+    )
+    found = diff.tables_diff(changed, docs, "doc_id", ["n_chars", "source", "text"], exact=True)
+    digests = [F.when(F.col("column") == "text", F.md5(c)).otherwise(F.col(c)).alias(c) for c in ("actual", "expected")]
+    return found.select("column", "key", "idx", "kind", *digests)
+
+
 # Aggregations
 
 
@@ -274,6 +313,18 @@ def group_softmax(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.group_softmax(scored, ["lang"], "score").select("doc_id", "lang", _rounded("p", 6))
 
 
+def array_softmax(spark: SparkSession, sf: str) -> DataFrame:
+    """Softmax along every embedding."""
+    p = vector.softmax_vector(F.col("embedding"))
+    return _embeddings(spark, sf).select("vec_id", F.posexplode(p).alias("idx", "p")).select("vec_id", "idx", _rounded("p", 6))
+
+
+def clip_all_parameters(spark: SparkSession, sf: str) -> DataFrame:
+    """All components of all embeddings as the gradients of one model."""
+    grads = _embeddings(spark, sf).select("vec_id", F.posexplode("embedding").alias("idx", "grad"))
+    return metrics.clip_global_norm(grads, 1.0).select("vec_id", "idx", _rounded("clipped", 6))
+
+
 def cross_entropy(spark: SparkSession, sf: str) -> DataFrame:
     losses = metrics.cross_entropy(_embeddings(spark, sf), "embedding", "label", ["label"])
     return losses.select("label", _rounded("loss"), "n_rows")
@@ -312,7 +363,7 @@ def bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
 
 def apply_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Training words after the best first merge."""
-    words = _words(spark, sf)
+    words = write_table(_words(spark, sf), "words")
     best = counts.top_pairs(counts.pair_counts(words), 1).first()
     return words.select(
         counts.merge_symbols(F.col("sym"), F.lit(best["l"]), F.lit(best["r"])).alias("sym"), "cnt"
@@ -378,11 +429,13 @@ def stream_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "apply_merge": apply_merge,
+    "array_softmax": array_softmax,
     "bpe_merges": bpe_merges,
     "bpe_vocab": bpe_vocab,
     "byte_display": byte_display,
     "byte_histogram": byte_histogram,
     "checkpoint_resume": checkpoint_resume,
+    "clip_all_parameters": clip_all_parameters,
     "clip_global_norm": clip_global_norm,
     "context_windows": context_windows,
     "corpus_split": corpus_split,
@@ -390,6 +443,7 @@ QUERIES = {
     "decode_roundtrip": decode_roundtrip,
     "embedding_lookup": embedding_lookup,
     "encode_documents": encode_documents,
+    "encode_from_files": encode_from_files,
     "fit_softmax_regression": fit_softmax_regression,
     "group_softmax": group_softmax,
     "lr_schedule": lr_schedule,
@@ -406,7 +460,9 @@ QUERIES = {
     "stream_encode": stream_encode,
     "stream_pretoken_counts": stream_pretoken_counts,
     "table_diff": table_diff,
+    "table_diff_exact": table_diff_exact,
     "token_stream": token_stream_blocks,
+    "token_vectors": token_vectors,
     "top_pairs": top_pairs,
     "vocab_load": vocab_load,
     "vocab_specials": vocab_specials,

@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+# A vocabulary beyond this is refused: it would no longer be a small constant in every task.
+MAX_VOCAB = 2_000_000
+
 
 def _table(*fields):
     return T.StructType([T.StructField(name, kind, nullable) for name, kind, nullable in fields])
@@ -27,7 +30,11 @@ HEX_MERGES = _table(
 
 NAMED_TOKENS = _table(("token_id", T.IntegerType(), False), ("t", T.StringType(), False))
 
-COMMITTED = _table(("step", T.IntegerType(), False), ("tables", T.ArrayType(T.StringType()), False))
+COMMITTED = _table(
+    ("step", T.IntegerType(), False),
+    ("tables", T.ArrayType(T.StringType()), False),
+    ("fingerprint", T.StringType(), False),
+)
 
 TRACE = _table(
     ("step", T.IntegerType(), False),

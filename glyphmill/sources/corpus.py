@@ -24,8 +24,10 @@ def corpus_scan(
 
 
 def write_corpus(docs: DataFrame, path: str, text: str = "text", delimiter: str = END_OF_TEXT) -> None:
-    """Write documents as text files, each followed by ``delimiter``."""
-    docs.select(text).write.option("lineSep", delimiter).text(path)
+    """Write documents as text files, each followed by ``delimiter``; a text that holds it fails the job."""
+    holds = F.raise_error(F.lit("a text holds the delimiter")).cast("string")
+    checked = F.when(F.contains(F.col(text), F.lit(delimiter)), holds).otherwise(F.col(text))
+    docs.select(checked.alias("value")).write.option("lineSep", delimiter).text(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

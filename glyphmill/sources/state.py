@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from glyphmill.schemas import COMMITTED
 from glyphmill.session import local_table, new_path
@@ -43,16 +44,32 @@ def latest_step(spark: SparkSession, run_dir: str) -> int | None:
     return steps[-1] if steps else None
 
 
-def save_step(spark: SparkSession, run_dir: str, step: int, **tables: DataFrame) -> None:
-    """Write the tables of one step, then its marker with the step number and the table names."""
+def fingerprint(rows: DataFrame, *settings: object) -> str:
+    """A text that tells inputs and settings apart: settings, row count and a sum of row digests."""
+    digest = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
+    count, total = rows.agg(F.count(F.lit(1)), digest).first()
+    return f"{settings} {count} {total}"
+
+
+def save_step(spark: SparkSession, run_dir: str, step: int, fingerprint: str = "", **tables: DataFrame) -> None:
+    """Write the tables of one step, then its marker with the step number, table names and fingerprint.
+
+    Of the steps committed before, the last one stays, so that a reader of it can end; older ones go.
+    """
     folder = f"{run_dir}/step={step}"
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{folder}/{name}")
-    marker = local_table(spark, [(step, sorted(tables))], COMMITTED)
+    marker = local_table(spark, [(step, sorted(tables), fingerprint)], COMMITTED)
     marker.write.mode("overwrite").parquet(f"{folder}/{_MARKER}")
+    for old in committed_steps(spark, run_dir)[:-2]:
+        fs, location = _files(spark, f"{run_dir}/step={old}")
+        fs.delete(location, True)
 
 
-def load_step(spark: SparkSession, run_dir: str, step: int) -> dict[str, DataFrame]:
+def load_step(spark: SparkSession, run_dir: str, step: int, fingerprint: str | None = None) -> dict[str, DataFrame]:
+    """Tables of a step; a step that was made from another input or other settings is refused."""
     folder = f"{run_dir}/step={step}"
-    names = spark.read.parquet(f"{folder}/{_MARKER}").first()["tables"]
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    marker = spark.read.parquet(f"{folder}/{_MARKER}").first()
+    if fingerprint is not None and marker["fingerprint"] != fingerprint:
+        raise ValueError(f"{run_dir} holds a run over another input or with other settings")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in marker["tables"]}

@@ -1,4 +1,6 @@
 import random
+
+import pytest
 from collections import Counter
 
 from hypothesis import given, settings
@@ -91,8 +93,10 @@ def test_training_resumes_from_the_last_commit(spark):
     bpe.train_merges(words, 16, run_dir, commit_rounds=2)
     steps = state.committed_steps(spark, run_dir)
     assert len(steps) > 1
-    # The word table is not read again: an empty one gives the same merges.
-    resumed = bpe.train_merges(words.filter(F.lit(False)), 24, run_dir, commit_rounds=2)
+    assert len(steps) == 2
+    resumed = bpe.train_merges(words, 24, run_dir, commit_rounds=2)
+    with pytest.raises(ValueError):
+        bpe.train_merges(words.limit(20), 24, run_dir)
     assert resumed.merges == whole.merges and resumed.counts == whole.counts
 
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,17 +19,16 @@ def model(spark, texts):
     return Tokenizer.from_tables(*train_bpe(docs, 256 + 2 + 40, SPECIALS), SPECIALS)
 
 
-def _ids(spark, model, rows, path):
+def _ids(spark, model, rows):
     docs = spark.createDataFrame(list(enumerate(rows)), "i int, text string")
-    return [r["ids"] for r in codec.encode_corpus(docs, model, path=path).orderBy("i").collect()]
+    return [r["ids"] for r in codec.encode_corpus(docs, model).orderBy("i").collect()]
 
 
-@pytest.mark.parametrize("path", ["fold", "rank"])
-def test_ids_equal_plain_encoding(spark, model, texts, path):
+def test_ids_equal_plain_encoding(spark, model, texts):
     rows = [*texts, "a  <|end|><|end|><|end|>\n\nb <|end|>", "<|end|>"]
     ranks = {p: i for i, p in enumerate(model.merges)}
     expected = [brute.encode(t, model.ids, ranks, SPECIALS) for t in rows]
-    assert _ids(spark, model, [*rows, None], path) == [*expected, None]
+    assert _ids(spark, model, [*rows, None]) == [*expected, None]
 
 
 def test_roundtrip(spark, model, texts):
@@ -40,7 +41,7 @@ def test_roundtrip(spark, model, texts):
 
 
 def test_special_tokens_stay_whole_and_the_longest_wins(spark, model):
-    [ids] = _ids(spark, model, ["Hello <|end|><|end|> you<|end|>"], "rank")
+    [ids] = _ids(spark, model, ["Hello <|end|><|end|> you<|end|>"])
     assert ids.count(model.special_ids["<|end|>"]) == 1
     assert ids.count(model.special_ids["<|end|><|end|>"]) == 1
 
@@ -59,15 +60,13 @@ def test_unknown_id_fails(spark, model):
         codec.decode_corpus(df, model).collect()
 
 
-def test_merges_that_build_the_same_bytes_take_the_rank_path(spark):
+def test_merges_that_build_the_same_bytes(spark):
     merges = ((b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"a", b"bc"), (b"abc", b"d"))
     tokens = [*(bytes([b]) for b in range(256)), b"ab", b"bc", b"abc", b"abcd"]
     model = Tokenizer(dict(enumerate(tokens)), merges)
     rows = ["abc", "abcd", "bcabcd", "aabcabcd"]
     ranks = {p: i for i, p in enumerate(merges)}
-    assert _ids(spark, model, rows, "auto") == [brute.encode(t, model.ids, ranks) for t in rows]
-    with pytest.raises(ValueError):
-        _ids(spark, model, rows, "fold")
+    assert _ids(spark, model, rows) == [brute.encode(t, model.ids, ranks) for t in rows]
 
 
 def test_files_give_the_tokenizer_back(spark, model, texts):
@@ -99,3 +98,47 @@ def test_vocabulary_without_specials_starts_with_the_bytes(spark):
     merges = spark.createDataFrame([(0, b"a", b"b")], "rank int, left binary, right binary")
     rows = {r["token_id"]: bytes(r["token"]) for r in assemble_vocab(merges).collect()}
     assert rows[97] == b"a" and rows[256] == b"ab" and len(rows) == 257
+
+
+def test_a_byte_outside_the_vocabulary_fails(spark):
+    tokens = [bytes([b]) for b in range(256) if b != ord("z")]
+    for merges in ((), ((b"a", b"b"),), ((b"a", b"b"), (b"ab", b"c"), (b"c", b"d"))):
+        model = Tokenizer(dict(enumerate([*tokens, b"ab", b"abc", b"cd"])), merges)
+        assert _ids(spark, model, ["aba"])
+        with pytest.raises(Exception):
+            _ids(spark, model, ["azb"])
+
+
+def test_many_merges_are_ready_at_once(spark):
+    tokens = [*(bytes([b]) for b in range(256)), *(bytes([b % 256, b // 256]) for b in range(50_000))]
+    merges = tuple((bytes([b % 256]), bytes([b // 256])) for b in range(50_000))
+    model = Tokenizer(dict(enumerate(tokens)), merges)
+    docs = spark.createDataFrame([("ab",)], "text string")
+    started = time.time()
+    encoded = codec.encode_corpus(docs, model)
+    assert time.time() - started < 1
+    assert encoded.first()["ids"] == [tokens.index(b"ab")]
+
+
+def test_malformed_vocabularies_are_refused(spark, tmp_path):
+    for name, content in (("a.json", "{\"a\": 1"), ("b.json", "[1, 2]"), ("c.json", "")):
+        (tmp_path / name).write_text(content)
+    for name in ("a.json", "b.json"):
+        with pytest.raises(Exception):
+            tokenizer_files.load_vocab(spark, str(tmp_path / name)).collect()
+
+
+def test_specials_follow_the_greatest_id_and_equal_bytes_are_refused(spark):
+    vocab = spark.createDataFrame([(0, b"a"), (2, b"b")], "token_id int, token binary")
+    grown = tokenizer_files.append_specials(vocab, ["<|x|>"]).collect()
+    assert {(r["token_id"], bytes(r["token"])) for r in grown} == {(0, b"a"), (2, b"b"), (3, b"<|x|>")}
+    merges = spark.createDataFrame([], "rank int, left binary, right binary")
+    twice = spark.createDataFrame([(0, b"a"), (2, b"a")], "token_id int, token binary")
+    with pytest.raises(ValueError):
+        tokenizer_files.write_tokenizer(twice, merges, new_path(spark, "twice"))
+
+
+def test_ids_with_gaps_decode(spark):
+    model = Tokenizer({0: b"a", 1_000_000_000: b"b"}, ())
+    df = spark.createDataFrame([([0, 1_000_000_000],), (None,), ([],)], "ids array<int>")
+    assert [r["decoded"] for r in codec.decode_corpus(df, model).collect()] == ["ab", None, ""]

@@ -98,3 +98,48 @@ def test_table_diff_of_arrays(spark):
     b = spark.createDataFrame([(1, [1.0, 2.5, 3.0]), (2, [1.0, 1.0])], schema)
     got = sorted((r["key"], r["idx"], r["kind"]) for r in diff.table_diff(a, b, "k", "v").collect())
     assert got == [("1", 1, "different"), ("2", 1, "missing")]
+
+
+def test_softmax_of_masked_undefined_and_null_groups(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 0, 1.0), ("a", 1, -inf), ("a", 2, 1.0), ("b", 3, nan), ("b", 4, 1.0), ("c", 5, -inf), (None, 6, 2.0), ("d", 7, inf)]
+    df = spark.createDataFrame(rows, "g string, i int, s double")
+    got = {r["i"]: r["p"] for r in metrics.group_softmax(df, ["g"], "s").collect()}
+    np.testing.assert_allclose([got[i] for i in (0, 2, 6)], [0.5, 0.5, 1.0])
+    assert got[1] == 0.0
+    assert all(math.isnan(got[i]) for i in (3, 4, 5, 7))
+    whole = {r["i"]: r["p"] for r in metrics.group_softmax(df.filter("i < 3"), [], "s").collect()}
+    np.testing.assert_allclose([whole[i] for i in range(3)], [0.5, 0.0, 0.5])
+
+
+def test_clip_without_groups_and_with_a_null_group(spark):
+    df = spark.createDataFrame([(None, 3.0), (1, 4.0), (2, None)], "g int, grad double")
+    got = sorted(r["clipped"] for r in metrics.clip_global_norm(df, 1.0).collect() if r["clipped"] is not None)
+    np.testing.assert_allclose(got, [3 / (5 + 1e-6), 4 / (5 + 1e-6)])
+    assert metrics.clip_global_norm(df, 1.0, ["g"]).count() == 3
+
+
+def test_exact_diff_of_any_type(spark):
+    schema = "k bigint, n bigint, s string, b binary"
+    big = 2**53
+    a = spark.createDataFrame([(1, big + 1, "x", b"a"), (None, 1, "y", b"b"), (3, 3, None, b"c")], schema)
+    b = spark.createDataFrame([(1, big, "x", b"a"), (None, 1, "y", b"b"), (4, 3, None, b"d"), (3, 3, "", b"c")], schema)
+    got = {(r["column"], r["key"], r["kind"], r["actual"], r["expected"]) for r in diff.tables_diff(a, b, "k", ["n", "s", "b"], exact=True).collect()}
+    assert got == {
+        ("n", "1", "different", str(big + 1), str(big)),
+        ("n", "4", "missing", None, "3"),
+        ("s", "4", "missing", None, None),
+        ("s", "3", "different", None, ""),
+        ("b", "4", "missing", None, "64"),
+    }
+    with pytest.raises(ValueError):
+        diff.table_diff(a, b, "k", "s")
+
+
+def test_diff_keeps_keys_of_empty_arrays(spark):
+    schema = "k bigint, v array<double>"
+    a = spark.createDataFrame([(1, [1.0])], schema)
+    b = spark.createDataFrame([(1, [1.0]), (2, []), (3, None)], schema)
+    got = sorted((r["key"], r["kind"]) for r in diff.table_diff(a, b, "k", "v").collect())
+    assert got == [("2", "missing"), ("3", "missing")]
+    assert diff.table_diff(b, b, "k", "v").count() == 0

@@ -26,8 +26,7 @@ def test_blocks_hold_the_stream_in_order(spark, separator, size, overlap):
         assert row["tokens"] == flat[i * size : (i + 1) * size + overlap]
 
 
-def test_stream_does_not_depend_on_partitions(spark, monkeypatch):
-    monkeypatch.setattr(ts, "BROADCAST_ROWS", 1)
+def test_stream_does_not_depend_on_partitions(spark):
     blocks = [
         sorted(map(str, ts.token_stream(_encoded(spark, n), 16, 4, 0).blocks.collect())) for n in (1, 9)
     ]
@@ -61,8 +60,20 @@ def test_starts_are_uniform_over_all_valid_positions(spark):
     assert not all(r["inside"] for r in skewed)
 
 
-def test_no_window_over_the_documents_runs_in_one_task(spark):
-    offsets = ts.document_offsets(_encoded(spark))
-    plan = offsets._jdf.queryExecution().optimizedPlan().toString()
-    # Ordered by part alone is only the window over the totals of the ranges.
-    assert plan.count("Window [") == 2 and "[part#" in plan
+def test_the_only_window_is_over_range_totals_and_no_join_moves_ids(spark):
+    placed = ts.placed_documents(_encoded(spark))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and "ShuffledHashJoin" not in plan and "SortMergeJoin" not in plan
+    stream = ts.token_stream(_encoded(spark), 8)
+    assert "Exchange" not in stream.blocks._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("extra, why", [((None, [1]), "no id"), ((9, [1]), "repeats")])
+def test_documents_without_an_id_of_their_own_are_refused(spark, extra, why):
+    df = spark.createDataFrame([*DOCS, extra], "doc_id bigint, ids array<int>").repartition(3)
+    with pytest.raises(Exception, match=why):
+        ts.token_stream(df, 8)
+
+
+def test_empty_stream(spark):
+    assert ts.token_stream(spark.createDataFrame([], "doc_id bigint, ids array<int>"), 8).n_tokens == 0

@@ -77,6 +77,27 @@ def test_mean_vectors(spark, lookup_numbers):
             np.testing.assert_allclose([rows[doc][i] for i in range(6)], want, atol=1e-9)
 
 
+@pytest.mark.parametrize("lookup_numbers", [32_000_000, 1])
+def test_mean_vectors_of_negative_unknown_and_repeated_ids(spark, lookup_numbers):
+    table = spark.createDataFrame([(-1, [5.0]), (0, [3.0])], "vec_id bigint, x array<double>")
+    df = spark.createDataFrame([(1, [0, 77]), (2, [-1, 0])], "doc_id bigint, ids array<int>")
+    got = vectors.mean_vectors(df, table, "doc_id", "ids", "vec_id", "x", lookup_numbers).collect()
+    assert {r["doc_id"]: r["mean"] for r in got} == {1: 3.0, 2: 4.0}
+    for bad in ([(0, [1.0]), (0, [2.0])], [(None, [1.0])]):
+        with pytest.raises(ValueError):
+            vectors.mean_vectors(df, spark.createDataFrame(bad, table.schema), "doc_id", "ids", "vec_id", "x", lookup_numbers)
+
+
+@pytest.mark.parametrize("limits", [(100_000, 1 << 26), (2, 1 << 26), (100_000, 100)])
+def test_attach_by_key_keeps_null_keys(spark, limits):
+    rows = spark.createDataFrame([(i, None if i % 3 else i % 6) for i in range(300)], "id bigint, k bigint")
+    per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    got = attach_by_key(rows, per_key, ["k"], "n", *limits)
+    assert got.count() == 300 and got.filter("k is null and top = 299").count() == 200
+    whole = attach_by_key(rows, rows.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top")), [], "n")
+    assert whole.filter("top = 299").count() == 300
+
+
 @pytest.mark.parametrize("broadcast_rows", [100_000, 2])
 def test_attach_by_key_keeps_every_row(spark, broadcast_rows):
     # Key 0 holds most rows; key 99 has no partner.
