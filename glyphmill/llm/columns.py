@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Bytes of text a task looks at together; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
@@ -65,7 +64,3 @@ def chunks_of(bounds: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text is divisible by five."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
-def arrow_schema(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)
