@@ -176,7 +176,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, vec_id: str = "vec_id
     directions = {}
     for (dim,) in units.select(F.size("unit")).distinct().collect():
         sample = units.filter(F.size("unit") == dim).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
-        directions[dim] = principal_dimensions(np.array([r["unit"] for r in sample.select("unit").collect()]))
+        flat = sample.select("unit").toArrow().column("unit").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        directions[dim] = principal_dimensions(flat.reshape(-1, dim))
     if not directions:
         linked = spark.createDataFrame([], "id bigint, links bigint, root bigint")
     else:
