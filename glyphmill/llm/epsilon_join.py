@@ -82,7 +82,7 @@ def _blocks(directions: dict[int, np.ndarray]):
                     ids, cells = part.column("id").to_numpy(), part.column("c0").to_numpy()
                     unit = part.column("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                     box = unit @ directions[dim]
-                    values = [int(ids[0]), dim, int(cells[0]), int(cells[-1]), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
+                    values = [int(ids[0]), dim, int(cells.min()), int(cells.max()), box.min(axis=0).tolist(), box.max(axis=0).tolist()]
                     values += [ids.tobytes(), part.column("n").to_numpy().tobytes(), np.ascontiguousarray(unit).tobytes()]
                     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.list_(pa.float64())] * 2, *[pa.binary()] * 3]
                     arrays = [pa.array([v], k) for v, k in zip(values, kinds)]
@@ -186,6 +186,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, vec_id: str = "vec_id
         numbers = units.agg(F.sum(F.size("unit"))).first()[0]
         parts = max(1, math.ceil(numbers / BLOCK_NUMBERS))
         ordered = units.mapInArrow(run, schema).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        # Blocks stay large where a session deals out more partitions than asked for.
+        ordered = ordered.coalesce(parts)
         boxes = "low array<double>, high array<double>, ids binary, n binary, data binary"
         columns = f"block bigint, dim int, from_cell int, to_cell int, {boxes}"
         blocks = write_table(ordered.mapInArrow(_blocks(directions), columns), "blocks")
