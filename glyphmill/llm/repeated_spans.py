@@ -27,10 +27,11 @@ LENGTH = 100
 PREFIX = 24
 # Positions worked on together; a longer text is taken in pieces.
 PIECE = 1 << 19
-# A run of windows in one number: tie of the document, first window, number of windows.
-TIE_BITS, FIRST_BITS, COUNT_BITS = 20, 31, 12
+# A run of windows in one number: first window in the document, then in these bits the number of windows.
+COUNT_BITS = 12
 # Stands for a NULL id, which comes before all others.
 NO_ID = -(1 << 63)
+RUN = "h bigint, stretch bigint, id bigint, tie bigint, place bigint, later boolean"
 
 
 def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: int):
@@ -68,13 +69,13 @@ def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: in
         yield text[first], low + begin, high + begin, hashes[chosen[first]], stretches
 
 
-def _place(tie: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Tie of a document, first window of a run in it and the number of windows, in one number."""
-    return tie << FIRST_BITS + COUNT_BITS | first << COUNT_BITS | n
+def _place(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """First window of a run in its document and the number of windows, in one number."""
+    return first << COUNT_BITS | n
 
 
 def _emit_positions(length: int, prefix: int):
-    """Batches of ``(h, stretch, id, place, later)``, one row for each run of windows.
+    """Batches of ``(h, stretch, id, tie, place, later)``, one row for each run of windows.
 
     Of equal stretches in a batch all but the first are known to be later ones. They need no group any
     more and get a number of their own as ``h``, so a passage that many documents share sends one row
@@ -86,37 +87,38 @@ def _emit_positions(length: int, prefix: int):
         data, bounds = text_buffer(batch.column(2))
         parts = []
         for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix):
-            parts.append((hashes, stretches, ids[text], _place(ties[text], first - bounds[text], last - first + 1)))
+            parts.append((hashes, stretches, ids[text], ties[text], _place(first - bounds[text], last - first + 1)))
         if not parts:
             return
-        h, stretch, own, place = (np.concatenate(column) for column in zip(*parts))
-        order = np.lexsort((place, own, stretch ^ h))
-        h, stretch, own, place = h[order], stretch[order], own[order], place[order]
+        h, stretch, own, tie, place = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((place, tie, own, stretch, h))
+        h, stretch, own, tie, place = h[order], stretch[order], own[order], tie[order], place[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (stretch[1:] != stretch[:-1])
         lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
         # Equal rows of the table are one document, none of which is later than the other.
-        later = (own != own[lead]) | (place != place[lead])
+        later = (own != own[lead]) | (tie != tie[lead]) | (place != place[lead])
         with np.errstate(over="ignore"):
-            alone = (own.view(np.uint64) * P1 ^ place.view(np.uint64)) * P2
+            alone = ((own.view(np.uint64) * P1 ^ tie.view(np.uint64)) * P2 ^ place.view(np.uint64)) * P1
         h = np.where(later, alone ^ alone >> np.uint64(32), h)
         for i in range(0, len(h), 100_000):
             part = slice(i, i + 100_000)
-            columns = [h[part].view(np.int64), stretch[part].view(np.int64), own[part], place[part], later[part]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["h", "stretch", "id", "place", "later"])
+            columns = [h[part].view(np.int64), stretch[part].view(np.int64), own[part], tie[part], place[part], later[part]]
+            names = ["h", "stretch", "id", "tie", "place", "later"]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
 
     return emit
 
 
 def _emit_windows(length: int, prefix: int):
-    """Batches of ``(h, id, place, data)`` for the runs that are asked for; ``data`` are their bytes."""
+    """Batches of ``(h, id, tie, place, data)`` for the runs that are asked for; ``data`` are their bytes."""
 
     def emit(batch: pa.RecordBatch):
         ids, ties = (batch.column(c).to_numpy() for c in ("id", "tie"))
         data, bounds = text_buffer(batch.column("body"))
         asked = batch.column("asked")
         n = asked.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        first = asked.flatten().to_numpy() >> COUNT_BITS & (1 << FIRST_BITS) - 1
+        first = asked.flatten().to_numpy() >> COUNT_BITS
         marked = np.zeros(len(data) + 1, bool)
         marked[np.repeat(bounds[:-1], n) + first] = True
         for text, first, last, hashes, _ in _piece_windows(data, bounds, length, prefix):
@@ -129,15 +131,16 @@ def _emit_windows(length: int, prefix: int):
                 payload = pa.Array.from_buffers(
                     pa.binary(), len(runs), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)]
                 )
-                place = _place(ties[text[runs]], first[runs] - bounds[text[runs]], last[runs] - first[runs] + 1)
-                columns = [pa.array(hashes[runs].view(np.int64)), pa.array(ids[text[runs]]), pa.array(place), payload]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "place", "data"])
+                place = _place(first[runs] - bounds[text[runs]], last[runs] - first[runs] + 1)
+                columns = [hashes[runs].view(np.int64), ids[text[runs]], ties[text[runs]], place]
+                columns = [*map(pa.array, columns), payload]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "tie", "place", "data"])
 
     return emit
 
 
 def _later_windows(length: int):
-    """From runs sorted by group, id and place, the stretches covered by windows that came before."""
+    """From runs sorted by group, id, tie and place, the stretches covered by windows that came before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, known, before = None, np.zeros(0, np.uint64), None
@@ -145,7 +148,7 @@ def _later_windows(length: int):
             for part in range(0, batch.num_rows, 2048):
                 rows = batch.slice(part, 2048)
                 # A row that repeats in the table is one document: its runs count once.
-                keys = [rows.column(i).to_numpy() for i in range(3)]
+                keys = [rows.column(i).to_numpy() for i in range(4)]
                 fresh = np.ones(rows.num_rows, bool)
                 fresh[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
                 fresh[0] = before != tuple(k[0] for k in keys)
@@ -153,8 +156,8 @@ def _later_windows(length: int):
                 rows = rows.filter(pa.array(fresh))
                 if not rows.num_rows:
                     continue
-                h, ids, place = (rows.column(i).to_numpy() for i in range(3))
-                data, bounds = text_buffer(rows.column(3))
+                h, ids, tie, place = (rows.column(i).to_numpy() for i in range(4))
+                data, bounds = text_buffer(rows.column(4))
                 n = np.diff(bounds) - length + 1
                 row = np.repeat(np.arange(len(h)), n)
                 offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -176,10 +179,8 @@ def _later_windows(length: int):
                 new[1:] = (np.diff(found) > 1) | (row[found[1:]] != row[found[:-1]])
                 head = found[np.flatnonzero(new)]
                 tail = found[np.append(np.flatnonzero(new)[1:], len(found)) - 1]
-                base = place[row[head]]
-                tie, first = base >> FIRST_BITS + COUNT_BITS, base >> COUNT_BITS & (1 << FIRST_BITS) - 1
-                run = _place(tie, first + offset[head], offset[tail] - offset[head] + 1)
-                columns = [pa.array(ids[row[head]]), pa.array(tie), pa.array(run)]
+                run = _place((place[row[head]] >> COUNT_BITS) + offset[head], offset[tail] - offset[head] + 1)
+                columns = [pa.array(ids[row[head]]), pa.array(tie[row[head]]), pa.array(run)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "run"])
 
     return run
@@ -192,7 +193,7 @@ def _removed(texts: pa.Array, lists: list[pa.Array], length: int) -> pa.StructAr
     for runs in lists:
         n = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         run = runs.flatten().to_numpy()
-        first = np.repeat(bounds[:-1], n) + (run >> COUNT_BITS & (1 << FIRST_BITS) - 1)
+        first = np.repeat(bounds[:-1], n) + (run >> COUNT_BITS)
         np.add.at(change, first, 1)
         np.add.at(change, first + (run & (1 << COUNT_BITS) - 1) - 1 + length, -1)
     gone = np.cumsum(change)[:-1] > 0
@@ -216,19 +217,19 @@ def remove_repeats(
 
     A byte goes when a string of ``length`` bytes that covers it starts earlier as well, at a smaller id
     or earlier in the same document; strings may overlap and never cross documents. NULL texts are
-    empty; shorter ones stay whole. A NULL id comes first. Rows that share an id are ordered by a digest
-    of their text, and equal rows count as one document, so neither loses bytes to the other. Other
+    empty; shorter ones stay whole. A NULL id comes first. Rows that share an id are ordered by the
+    64-bit digest of their text, and equal rows count as one document, so neither loses bytes to the other. Other
     columns stay; those named like a result are replaced. An empty table gives an empty one.
     """
     if not 0 < prefix <= length < prefix + (1 << COUNT_BITS) - 1:
         raise ValueError("the prefix is a part of the length, and not too small a part")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID).cast("bigint"))
-    tie = F.xxhash64(body).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
+    tie = F.xxhash64(body)
     narrow = docs.select(key.alias("id"), tie.alias("tie"), body.alias("body"))
-    runs = map_text(narrow, _emit_positions(length, prefix), "h bigint, stretch bigint, id bigint, place bigint, later boolean")
+    runs = map_text(narrow, _emit_positions(length, prefix), RUN)
     group = Window.partitionBy("h", "later")
-    order = Window.partitionBy("h", "later", "stretch").orderBy("id", "place")
+    order = Window.partitionBy("h", "later", "stretch").orderBy("id", "tie", "place")
     judged = (
         runs.withColumn("n", F.count(F.lit(1)).over(group))
         .withColumn("least", F.min("stretch").over(group))
@@ -237,7 +238,7 @@ def remove_repeats(
         .withColumn("nth", F.rank().over(order))
         .select(
             "id",
-            F.shiftright("place", FIRST_BITS + COUNT_BITS).alias("tie"),
+            "tie",
             F.when(F.col("later") | (F.col("nth") > 1), F.col("place")).alias("covered"),
             F.when(~F.col("later") & (F.col("nth") == 1) & (F.col("least") < F.col("most")), F.col("place")).alias("asked"),
         )
@@ -249,9 +250,9 @@ def remove_repeats(
     whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text]).alias("row")
     keyed = docs.select(whole, key.alias("id"), tie.alias("tie"), body.alias("body"))
     asking = keyed.join(by_doc.filter(F.size("asked") > 0).select("id", "tie", "asked").hint("shuffle_merge"), ["id", "tie"])
-    order = ["h", "id", "place"]
+    order = ["h", "id", "tie", "place"]
     later = (
-        map_text(asking, _emit_windows(length, prefix), "h bigint, id bigint, place bigint, data binary")
+        map_text(asking, _emit_windows(length, prefix), "h bigint, id bigint, tie bigint, place bigint, data binary")
         .repartition("h")
         .sortWithinPartitions(*order)
         .mapInArrow(_later_windows(length), "id bigint, tie bigint, run bigint")

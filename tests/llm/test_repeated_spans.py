@@ -63,3 +63,21 @@ def test_equal_rows_null_ids_and_names(make_docs):
     assert again[0] == again[1] and 0 < again[0]["n_removed"] < len(text)
     with pytest.raises(ValueError):
         repeated_spans.remove_repeats(docs, prefix=101)
+
+
+def test_many_texts_without_an_id_stay_apart(make_docs):
+    random.seed(20)
+    passage = "".join(random.choice("abcdefgh") for _ in range(10))
+    texts = {passage * (i % 2) + "".join(random.choice("abcdefgh") for _ in range(24)) for i in range(6000)}
+    rows = repeated_spans.remove_repeats(make_docs([(None, t) for t in texts]), length=10, prefix=8).collect()
+    assert len(rows) == len(texts)
+    assert all(r["n_removed"] <= r["n_bytes"] and len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in rows)
+    gone = sorted(r["n_removed"] for r in rows)
+    assert gone == sorted(_gone_by_digest(texts, 10, make_docs))
+
+
+def _gone_by_digest(texts, length, make_docs):
+    """Removed bytes of texts that share an id, in the order of their digests."""
+    digests = make_docs(list(enumerate(texts))).select("text", F.xxhash64("text").alias("d")).collect()
+    ordered = [r["text"] for r in sorted(digests, key=lambda r: r["d"])]
+    return [found[1] for found in plain(list(enumerate(ordered)), length).values()]
