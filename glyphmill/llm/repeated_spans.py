@@ -34,16 +34,21 @@ NO_ID = -(1 << 63)
 RUN = "h bigint, stretch bigint, id bigint, tie bigint, place bigint, later boolean"
 
 
-def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: int):
+def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: int, piece: int):
     """Runs of neighbouring windows that are handed to the same position.
 
     Yields, for pieces of the buffer, the text of each run, the first and the last start of a window (as
-    places in the buffer), the hash of the chosen ``prefix`` bytes and that of all bytes of the run.
+    places in the buffer), the hash of the chosen ``prefix`` bytes and that of all bytes of the run. A run
+    that reaches the end of a piece is left to the next piece, which begins with it, so runs depend on
+    their text alone and not on where pieces and batches end.
     """
     reach = length - prefix + 1
-    for begin in range(0, max(len(data) - length + 1, 0), PIECE):
-        end = min(begin + PIECE, len(data) - length + 1)
-        part = data[begin : end + length - 1]
+    # No run has more than ``reach`` windows, so every piece gets on.
+    piece = max(piece, 2 * reach)
+    begin, n_starts = 0, len(data) - length + 1
+    while begin < n_starts:
+        here, end = begin, min(begin + piece, n_starts)
+        part = data[here : end + length - 1]
         n = len(part) - prefix + 1
         hashes = span_hashes(part, np.arange(n), np.arange(n) + prefix)
         # The place in the low bits makes the leftmost of equal hashes the smallest.
@@ -53,8 +58,9 @@ def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: in
             step = min(size, reach - size)
             window = np.minimum(window[: len(window) - step], window[step:])
             size += step
-        chosen = (window[: end - begin] & np.uint64((1 << 21) - 1)).astype(np.int64)
-        starts = np.arange(begin, end)
+        chosen = (window[: end - here] & np.uint64((1 << 21) - 1)).astype(np.int64)
+        starts = np.arange(here, end)
+        begin = end
         text = np.searchsorted(bounds, starts, "right") - 1
         valid = np.flatnonzero(starts + length <= bounds[text + 1])
         if not len(valid):
@@ -65,8 +71,11 @@ def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: in
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(valid)) - 1
         low, high = valid[first], valid[last]
+        if end < n_starts and high[-1] == end - here - 1:
+            begin = here + int(low[-1])
+            first, low, high = first[:-1], low[:-1], high[:-1]
         stretches = span_hashes(part, low, high + length)
-        yield text[first], low + begin, high + begin, hashes[chosen[first]], stretches
+        yield text[first], low + here, high + here, hashes[chosen[first]], stretches
 
 
 def _place(first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -74,7 +83,7 @@ def _place(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return first << COUNT_BITS | n
 
 
-def _emit_positions(length: int, prefix: int):
+def _emit_positions(length: int, prefix: int, piece: int):
     """Batches of ``(h, stretch, id, tie, place, later)``, one row for each run of windows.
 
     Of equal stretches in a batch all but the first are known to be later ones. They need no group any
@@ -86,7 +95,7 @@ def _emit_positions(length: int, prefix: int):
         ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         data, bounds = text_buffer(batch.column(2))
         parts = []
-        for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix):
+        for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix, piece):
             parts.append((hashes, stretches, ids[text], ties[text], _place(first - bounds[text], last - first + 1)))
         if not parts:
             return
@@ -110,7 +119,7 @@ def _emit_positions(length: int, prefix: int):
     return emit
 
 
-def _emit_windows(length: int, prefix: int):
+def _emit_windows(length: int, prefix: int, piece: int):
     """Batches of ``(h, id, tie, place, data)`` for the runs that are asked for; ``data`` are their bytes."""
 
     def emit(batch: pa.RecordBatch):
@@ -121,7 +130,7 @@ def _emit_windows(length: int, prefix: int):
         first = asked.flatten().to_numpy() >> COUNT_BITS
         marked = np.zeros(len(data) + 1, bool)
         marked[np.repeat(bounds[:-1], n) + first] = True
-        for text, first, last, hashes, _ in _piece_windows(data, bounds, length, prefix):
+        for text, first, last, hashes, _ in _piece_windows(data, bounds, length, prefix, piece):
             own = np.flatnonzero(marked[first])
             for part in range(0, len(own), 20_000):
                 runs = own[part : part + 20_000]
@@ -211,7 +220,12 @@ def _removed(texts: pa.Array, lists: list[pa.Array], length: int) -> pa.StructAr
 
 
 def remove_repeats(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, prefix: int = PREFIX
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    length: int = LENGTH,
+    prefix: int = PREFIX,
+    piece: int | None = None,
 ) -> DataFrame:
     """``docs`` without its text, with ``n_bytes``, ``n_removed``, ``n_spans`` and the rest as ``kept``.
 
@@ -219,15 +233,19 @@ def remove_repeats(
     or earlier in the same document; strings may overlap and never cross documents. NULL texts are
     empty; shorter ones stay whole. A NULL id comes first. Rows that share an id are ordered by the
     64-bit digest of their text, and equal rows count as one document, so neither loses bytes to the other. Other
-    columns stay; those named like a result are replaced. An empty table gives an empty one.
+    columns stay; those named like a result are replaced. An empty table gives an empty one. ``piece`` is
+    how many positions are worked on together; results do not depend on it.
     """
+    piece = PIECE if piece is None else piece
+    if not 0 < piece <= 1 << 20:
+        raise ValueError("a piece has from one to 2**20 positions")
     if not 0 < prefix <= length < prefix + (1 << COUNT_BITS) - 1:
         raise ValueError("the prefix is a part of the length, and not too small a part")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID).cast("bigint"))
     tie = F.xxhash64(body)
     narrow = docs.select(key.alias("id"), tie.alias("tie"), body.alias("body"))
-    runs = map_text(narrow, _emit_positions(length, prefix), RUN)
+    runs = map_text(narrow, _emit_positions(length, prefix, piece), RUN)
     group = Window.partitionBy("h", "later")
     order = Window.partitionBy("h", "later", "stretch").orderBy("id", "tie", "place")
     judged = (
@@ -252,7 +270,7 @@ def remove_repeats(
     asking = keyed.join(by_doc.filter(F.size("asked") > 0).select("id", "tie", "asked").hint("shuffle_merge"), ["id", "tie"])
     order = ["h", "id", "tie", "place"]
     later = (
-        map_text(asking, _emit_windows(length, prefix), "h bigint, id bigint, tie bigint, place bigint, data binary")
+        map_text(asking, _emit_windows(length, prefix, piece), "h bigint, id bigint, tie bigint, place bigint, data binary")
         .repartition("h")
         .sortWithinPartitions(*order)
         .mapInArrow(_later_windows(length), "id bigint, tie bigint, run bigint")

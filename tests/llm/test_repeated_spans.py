@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,31 @@ def _gone_by_digest(texts, length, make_docs):
     digests = make_docs(list(enumerate(texts))).select("text", F.xxhash64("text").alias("d")).collect()
     ordered = [r["text"] for r in sorted(digests, key=lambda r: r["d"])]
     return [found[1] for found in plain(list(enumerate(ordered)), length).values()]
+
+
+def test_runs_do_not_depend_on_pieces_and_batches(make_docs):
+    random.seed(21)
+    texts = ["".join(random.choice("ab") for _ in range(random.randint(0, 400))) for _ in range(200)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *map(len, texts)])
+
+    def runs(i, j, piece):
+        own = bounds[i : j + 1] - bounds[i]
+        found = repeated_spans._piece_windows(data[bounds[i] : bounds[j]], own, 40, 12, piece)
+        return [(i + t, a - own[t], b - own[t], h, s) for part in found for t, a, b, h, s in zip(*part)]
+
+    whole = runs(0, 200, 1 << 19)
+    for size in (1, 100, 1023):
+        assert runs(0, 200, size) == whole
+        assert runs(0, 77, size) + runs(77, 200, size) == whole
+
+
+def test_a_batch_of_several_megabytes(make_docs):
+    random.seed(22)
+    words = ["".join(random.choice("abcdefgh") for _ in range(random.randint(1, 6))) for _ in range(3000)]
+    texts = [" ".join(random.choices(words, k=1200)) for _ in range(450)]
+    cuts = [(t, a) for t in texts for a in random.sample(range(4000), 6)]
+    rows = list(enumerate(texts + ["|".join(t[a : a + 160] for t, a in random.sample(cuts, 40)) for _ in range(80)]))
+    assert sum(len(t) for _, t in rows) > 2_000_000
+    found = repeated_spans.remove_repeats(make_docs(rows).coalesce(1)).collect()
+    assert {r["doc_id"]: shown(r) for r in found} == plain(rows, 100)
