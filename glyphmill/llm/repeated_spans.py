@@ -7,7 +7,8 @@ place, and neighbouring windows mostly choose the same position. The first round
 positions by their ``PREFIX`` bytes; those that are alone have no repeated window and leave. The second
 ranks them by the pair of that group and the whole stretch of bytes that their windows cover: a stretch
 that came before has no window of its own. What is left, the first of each of several stretches of one
-group, is ranked window by window at the full ``length``.
+group, is ranked window by window at the full ``length``. A group with very many stretches is spread by
+stretch and by window over all tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glyphmill.llm.columns import map_text, text_buffer
+from glyphmill.llm.columns import chunks_of, map_text, text_buffer
 from glyphmill.llm.word_hashes import P1, P2, span_hashes
 from glyphmill.session import write_table
 
@@ -27,11 +28,15 @@ LENGTH = 100
 PREFIX = 24
 # Positions worked on together; a longer text is taken in pieces.
 PIECE = 1 << 19
+# Bytes of text whose runs are held and combined together in a map.
+COMBINED = 6 << 20
 # A run of windows in one number: first window in the document, then in these bits the number of windows.
 COUNT_BITS = 12
 # Stands for a NULL id, which comes before all others.
 NO_ID = -(1 << 63)
-RUN = "h bigint, stretch bigint, id bigint, tie bigint, place bigint, later boolean"
+# Groups with so many distinct stretches, in a sample of one text in ``SAMPLE``, are hot and spread.
+SAMPLE, HOT_IN_SAMPLE, MOST_HOT = 64, 16, 1 << 20
+RUN = "h bigint, stretch bigint, id bigint, tie bigint, place bigint, later boolean, hot boolean"
 
 
 def _piece_windows(data: np.ndarray, bounds: np.ndarray, length: int, prefix: int, piece: int):
@@ -83,23 +88,38 @@ def _place(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return first << COUNT_BITS | n
 
 
-def _emit_positions(length: int, prefix: int, piece: int):
-    """Batches of ``(h, stretch, id, tie, place, later)``, one row for each run of windows.
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        value = (a * P1 ^ b) * P2
+        return value ^ value >> np.uint64(32)
 
-    Of equal stretches in a batch all but the first are known to be later ones. They need no group any
+
+def _is_hot(h: np.ndarray, hot) -> np.ndarray:
+    """Which groups are among the sorted ``hot`` ones of a broadcast; there are none without one."""
+    if hot is None:
+        return np.zeros(len(h), bool)
+    return hot.value[np.minimum(np.searchsorted(hot.value, h), len(hot.value) - 1)] == h
+
+
+def _emit_positions(length: int, prefix: int, piece: int, hot=None):
+    """Batches of ``(h, stretch, id, tie, place, later, hot)``, one row for each run of windows.
+
+    Of equal stretches in a part of a batch all but the first are known to be later ones. They need no group any
     more and get a number of their own as ``h``, so a passage that many documents share sends one row
-    per batch to its group.
+    per part to its group. The stretches of a ``hot`` group are groups of their own.
     """
 
-    def emit(batch: pa.RecordBatch):
-        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        data, bounds = text_buffer(batch.column(2))
+    names = ["h", "stretch", "id", "tie", "place", "later", "hot"]
+
+    def combined(ids, ties, data, bounds):
         parts = []
         for text, first, last, hashes, stretches in _piece_windows(data, bounds, length, prefix, piece):
-            parts.append((hashes, stretches, ids[text], ties[text], _place(first - bounds[text], last - first + 1)))
+            parts.append((hashes, stretches, text, _place(first - bounds[text], last - first + 1)))
         if not parts:
             return
-        h, stretch, own, tie, place = (np.concatenate(column) for column in zip(*parts))
+        h, stretch, text, place = (np.concatenate(column) for column in zip(*parts))
+        del parts
+        own, tie = ids[text], ties[text]
         order = np.lexsort((place, tie, own, stretch, h))
         h, stretch, own, tie, place = h[order], stretch[order], own[order], tie[order], place[order]
         new = np.ones(len(h), bool)
@@ -107,20 +127,66 @@ def _emit_positions(length: int, prefix: int, piece: int):
         lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
         # Equal rows of the table are one document, none of which is later than the other.
         later = (own != own[lead]) | (tie != tie[lead]) | (place != place[lead])
-        with np.errstate(over="ignore"):
-            alone = ((own.view(np.uint64) * P1 ^ tie.view(np.uint64)) * P2 ^ place.view(np.uint64)) * P1
-        h = np.where(later, alone ^ alone >> np.uint64(32), h)
+        spread = _is_hot(h, hot)
+        h[spread] = _mixed(h[spread], stretch[spread])
+        h[later] = _mixed(_mixed(own[later].view(np.uint64), tie[later].view(np.uint64)), place[later].view(np.uint64))
         for i in range(0, len(h), 100_000):
             part = slice(i, i + 100_000)
-            columns = [h[part].view(np.int64), stretch[part].view(np.int64), own[part], tie[part], place[part], later[part]]
-            names = ["h", "stretch", "id", "tie", "place", "later"]
+            columns = [h[part].view(np.int64), stretch[part].view(np.int64), own[part], tie[part], place[part], later[part], spread[part]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
 
+    def emit(batch: pa.RecordBatch):
+        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        data, bounds = text_buffer(batch.column(2))
+        for i, j in chunks_of(bounds, COMBINED):
+            yield from combined(ids[i:j], ties[i:j], data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+
     return emit
 
 
-def _emit_windows(length: int, prefix: int, piece: int):
-    """Batches of ``(h, id, tie, place, data)`` for the runs that are asked for; ``data`` are their bytes."""
+def _first_windows(data, bounds, text, first, last, h, ids, ties, length: int):
+    """The windows of runs of hot groups: the first of each in these runs, and stretches of later ones.
+
+    Yields columns of ``(h, id, tie, place, later)``. A first window is a group of its own, by the group
+    of its run and its bytes.
+    """
+    n = last - first + 1
+    row = np.repeat(np.arange(len(n)), n)
+    start = first[row] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    low = data[first.min() : last.max() + length]
+    window = _mixed(h[row], span_hashes(low, start - first.min(), start - first.min() + length))
+    own, tie, at = ids[text[row]], ties[text[row]], start - bounds[text[row]]
+    order = np.lexsort((at, tie, own, window))
+    new = np.ones(len(order), bool)
+    new[1:] = window[order[1:]] != window[order[:-1]]
+    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = np.zeros(len(order), bool)
+    # Equal rows of the table are one document, none of which is later than the other.
+    later[order] = (own[order] != own[lead]) | (tie[order] != tie[lead]) | (at[order] != at[lead])
+    lead = order[new]
+    yield window[lead], own[lead], tie[lead], _place(at[lead], np.ones(len(lead), np.int64)), np.zeros(len(lead), bool)
+    head, tail = _joined(np.flatnonzero(later), row)
+    key = _mixed(_mixed(own[head].view(np.uint64), tie[head].view(np.uint64)), at[head].view(np.uint64))
+    yield key, own[head], tie[head], _place(at[head], tail - head + 1), np.ones(len(head), bool)
+
+
+def _joined(found: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each stretch of neighbours in ``found`` that are of one row."""
+    new = np.ones(len(found), bool)
+    new[1:] = (np.diff(found) > 1) | (row[found[1:]] != row[found[:-1]])
+    ends = np.ones(len(found), bool)
+    ends[:-1] = new[1:]
+    return found[new], found[ends]
+
+
+def _emit_windows(length: int, prefix: int, piece: int, hot=None):
+    """Batches of ``(h, id, tie, place, later, data)`` for the runs that are asked for.
+
+    ``data`` are the bytes of a run, which its group compares window by window. Of a hot group the
+    windows themselves are dealt out, without bytes, and those that came before in the piece are known
+    to be later ones: neither a group nor a window that many documents have goes to one task whole.
+    """
+    names = ["h", "id", "tie", "place", "later", "data"]
 
     def emit(batch: pa.RecordBatch):
         ids, ties = (batch.column(c).to_numpy() for c in ("id", "tie"))
@@ -132,6 +198,16 @@ def _emit_windows(length: int, prefix: int, piece: int):
         marked[np.repeat(bounds[:-1], n) + first] = True
         for text, first, last, hashes, _ in _piece_windows(data, bounds, length, prefix, piece):
             own = np.flatnonzero(marked[first])
+            spread = _is_hot(hashes[own], hot)
+            runs = own[spread]
+            if len(runs):
+                parts = _first_windows(data, bounds, text[runs], first[runs], last[runs], hashes[runs], ids, ties, length)
+                for h, *rest in parts:
+                    for i in range(0, len(h), 100_000):
+                        columns = [pa.array(c[i : i + 100_000]) for c in (h.view(np.int64), *rest)]
+                        columns.append(pa.nulls(len(columns[0]), pa.binary()))
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
+            own = own[~spread]
             for part in range(0, len(own), 20_000):
                 runs = own[part : part + 20_000]
                 size = last[runs] - first[runs] + length
@@ -141,21 +217,30 @@ def _emit_windows(length: int, prefix: int, piece: int):
                     pa.binary(), len(runs), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)]
                 )
                 place = _place(first[runs] - bounds[text[runs]], last[runs] - first[runs] + 1)
-                columns = [hashes[runs].view(np.int64), ids[text[runs]], ties[text[runs]], place]
-                columns = [*map(pa.array, columns), payload]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "tie", "place", "data"])
+                columns = [hashes[runs].view(np.int64), ids[text[runs]], ties[text[runs]], place, np.zeros(len(runs), bool)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), payload], names=names)
 
     return emit
 
 
 def _later_windows(length: int):
-    """From runs sorted by group, id, tie and place, the stretches covered by windows that came before."""
+    """From runs sorted by group, id, tie and place, the stretches covered by windows that came before.
+
+    Rows without bytes are single windows that the group stands for, or known to be later.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, known, before = None, np.zeros(0, np.uint64), None
+        names = ["id", "tie", "run"]
         for batch in batches:
             for part in range(0, batch.num_rows, 2048):
                 rows = batch.slice(part, 2048)
+                told = rows.column(4).to_numpy(zero_copy_only=False)
+                if told.any():
+                    yield pa.RecordBatch.from_arrays([c.filter(pa.array(told)) for c in rows.columns[1:4]], names=names)
+                    rows = rows.filter(pa.array(~told))
+                if not rows.num_rows:
+                    continue
                 # A row that repeats in the table is one document: its runs count once.
                 keys = [rows.column(i).to_numpy() for i in range(4)]
                 fresh = np.ones(rows.num_rows, bool)
@@ -166,12 +251,13 @@ def _later_windows(length: int):
                 if not rows.num_rows:
                     continue
                 h, ids, tie, place = (rows.column(i).to_numpy() for i in range(4))
-                data, bounds = text_buffer(rows.column(4))
-                n = np.diff(bounds) - length + 1
+                data, bounds = text_buffer(rows.column(5))
+                size = np.diff(bounds)
+                n = np.where(size > 0, size - length + 1, 1)
                 row = np.repeat(np.arange(len(h)), n)
                 offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = bounds[row] + offset
-                window = span_hashes(data, start, start + length) + h[row].view(np.uint64)
+                window = span_hashes(data, start, start + np.minimum(size, length)[row]) + h[row].view(np.uint64)
                 _, first = np.unique(window, return_index=True)
                 later = np.ones(len(window), bool)
                 later[first] = False
@@ -181,20 +267,28 @@ def _later_windows(length: int):
                 mine = window[h[row] == h[-1]]
                 known = np.unique(np.append(known, mine) if h[-1] == group else mine)
                 group = h[-1]
-                found = np.flatnonzero(later)
-                if not len(found):
+                head, tail = _joined(np.flatnonzero(later), row)
+                if not len(head):
                     continue
-                new = np.ones(len(found), bool)
-                new[1:] = (np.diff(found) > 1) | (row[found[1:]] != row[found[:-1]])
-                head = found[np.flatnonzero(new)]
-                tail = found[np.append(np.flatnonzero(new)[1:], len(found)) - 1]
-                run = _place((place[row[head]] >> COUNT_BITS) + offset[head], offset[tail] - offset[head] + 1)
-                columns = [pa.array(ids[row[head]]), pa.array(tie[row[head]]), pa.array(run)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "run"])
+                run = _place((place[row[head]] >> COUNT_BITS) + offset[head], tail - head + 1)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, (ids[row[head]], tie[row[head]], run))), names=names)
 
     return run
 
 
+def _hot_groups(narrow: DataFrame, length: int, prefix: int, piece: int):
+    """A broadcast of the groups that have many distinct stretches, or nothing if there are none.
+
+    They are found in a sample of the texts. What is found only decides how rows are dealt out: a group
+    that is missed has few stretches, and one that is found by chance gets the same results.
+    """
+    sample = narrow.filter(F.pmod(F.xxhash64("id", "tie"), F.lit(SAMPLE)) == 0)
+    groups = map_text(sample, _emit_positions(length, prefix, piece), RUN).filter("not later").select("h", "stretch").distinct()
+    hot = groups.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= HOT_IN_SAMPLE)
+    found = hot.orderBy(F.desc("n"), "h").limit(MOST_HOT).select("h").toArrow()["h"].to_numpy().view(np.uint64)
+    return narrow.sparkSession.sparkContext.broadcast(np.sort(found)) if len(found) else None
+
+
 def _removed(texts: pa.Array, lists: list[pa.Array], length: int) -> pa.StructArray:
     """Bytes, removed bytes, removed runs and the rest of each text, given its repeated runs of windows."""
     data, bounds = text_buffer(texts)
@@ -245,20 +339,21 @@ def remove_repeats(
     key = F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID).cast("bigint"))
     tie = F.xxhash64(body)
     narrow = docs.select(key.alias("id"), tie.alias("tie"), body.alias("body"))
-    runs = map_text(narrow, _emit_positions(length, prefix, piece), RUN)
+    hot = _hot_groups(narrow, length, prefix, piece)
+    runs = map_text(narrow, _emit_positions(length, prefix, piece, hot), RUN)
     group = Window.partitionBy("h", "later")
     order = Window.partitionBy("h", "later", "stretch").orderBy("id", "tie", "place")
     judged = (
         runs.withColumn("n", F.count(F.lit(1)).over(group))
         .withColumn("least", F.min("stretch").over(group))
         .withColumn("most", F.max("stretch").over(group))
-        .filter("n > 1 or later")
+        .filter("n > 1 or later or hot")
         .withColumn("nth", F.rank().over(order))
         .select(
             "id",
             "tie",
             F.when(F.col("later") | (F.col("nth") > 1), F.col("place")).alias("covered"),
-            F.when(~F.col("later") & (F.col("nth") == 1) & (F.col("least") < F.col("most")), F.col("place")).alias("asked"),
+            F.when(~F.col("later") & (F.col("nth") == 1) & (F.col("hot") | (F.col("least") < F.col("most"))), F.col("place")).alias("asked"),
         )
         .filter("covered is not null or asked is not null")
     )
@@ -270,7 +365,7 @@ def remove_repeats(
     asking = keyed.join(by_doc.filter(F.size("asked") > 0).select("id", "tie", "asked").hint("shuffle_merge"), ["id", "tie"])
     order = ["h", "id", "tie", "place"]
     later = (
-        map_text(asking, _emit_windows(length, prefix, piece), "h bigint, id bigint, tie bigint, place bigint, data binary")
+        map_text(asking, _emit_windows(length, prefix, piece, hot), "h bigint, id bigint, tie bigint, place bigint, later boolean, data binary")
         .repartition("h")
         .sortWithinPartitions(*order)
         .mapInArrow(_later_windows(length), "id bigint, tie bigint, run bigint")
@@ -279,8 +374,10 @@ def remove_repeats(
     )
 
     def cut(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for texts, *lists in batches:
-            yield _removed(texts, lists, length)
+        for columns in batches:
+            chunks = chunks_of(text_buffer(columns[0])[1])
+            parts = [[c.slice(i, j - i) for c in columns] for i, j in chunks] or [columns]
+            yield pa.concat_arrays([_removed(texts, lists, length) for texts, *lists in parts])
 
     removed = F.arrow_udf(cut, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>").asNondeterministic()
     joined = keyed.join(by_doc.select("id", "tie", "covered").hint("shuffle_merge"), ["id", "tie"], "left")

@@ -110,3 +110,23 @@ def test_a_batch_of_several_megabytes(make_docs):
     assert sum(len(t) for _, t in rows) > 2_000_000
     found = repeated_spans.remove_repeats(make_docs(rows).coalesce(1)).collect()
     assert {r["doc_id"]: shown(r) for r in found} == plain(rows, 100)
+
+
+def test_a_common_phrase_is_spread(make_docs, monkeypatch):
+    monkeypatch.setattr(repeated_spans, "SAMPLE", 4)
+    random.seed(23)
+    phrase = "a phrase that a third of all documents share, "
+    tails = ["".join(random.choice("abcdefgh") for _ in range(60)) for _ in range(40)]
+    rows = [(i, "".join(random.choice("abcdefgh") for _ in range(60)) + phrase + random.choice(tails)) for i in range(900)]
+    docs = make_docs(rows + rows[:5])
+    narrow = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.col("text").alias("body"))
+    hot = repeated_spans._hot_groups(narrow, 100, 24, 1 << 19)
+    assert hot is not None
+    largest = []
+    for groups in (None, hot):
+        emit = repeated_spans._emit_positions(100, 24, 1 << 19, groups)
+        runs = repeated_spans.map_text(narrow, emit, repeated_spans.RUN).filter("not later")
+        largest.append(runs.groupBy("h").count().agg(F.max("count")).first()[0])
+    assert largest[0] > 500 and largest[1] < 50
+    found = repeated_spans.remove_repeats(docs).collect()
+    assert {r["doc_id"]: shown(r) for r in found} == plain(rows, 100) and len(found) == 905
