@@ -1,14 +1,14 @@
-"""Removal of repeated byte strings, by prefix doubling over sampled suffixes.
-
-Ranking every position by Spark would move some fifty times the text, so only positions that are bound
-to meet are ranked: a window of ``length`` bytes is handed to the position, among its first
-``length - PREFIX + 1``, whose ``PREFIX`` bytes have the smallest hash. Equal windows choose the same
-place, and neighbouring windows mostly choose the same position. The first round of ranks groups the
-positions by their ``PREFIX`` bytes; those that are alone have no repeated window and leave. The second
-ranks them by the pair of that group and the whole stretch of bytes that their windows cover: a stretch
-that came before has no window of its own. What is left, the first of each of several stretches of one
-group, is ranked window by window at the full ``length``. A group with very many stretches is spread by
-stretch and by window over all tasks.
+"""Removal of repeated byte strings, by minimiser sampling and rounds of grouping by hash.
+
+This is not prefix doubling: no rank pairs at growing offsets are sorted. Ranking every position by Spark
+would move some fifty times the text, so only positions that are bound to meet are ranked: a window of
+``length`` bytes is handed to the position, among its first ``length - PREFIX + 1``, whose ``PREFIX``
+bytes have the smallest hash. Equal windows choose the same place, and neighbouring windows mostly choose
+the same position. The first round of ranks groups the positions by their ``PREFIX`` bytes; those that are
+alone have no repeated window and leave. The second ranks them by the pair of that group and the whole
+stretch of bytes that their windows cover: a stretch that came before has no window of its own. What is
+left, the first of each of several stretches of one group, is ranked window by window at the full
+``length``. A group with very many stretches is spread by stretch and by window over all tasks.
 """
 
 from __future__ import annotations
