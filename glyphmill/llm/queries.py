@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import bpe_codec, epsilon_join, language_mixture, license_scan, max_score, mixing, repeated_spans, secrets, simhash_golay, toxicity
+from glyphmill.llm import (
+    bpe_codec,
+    epsilon_join,
+    language_mixture,
+    license_scan,
+    max_score,
+    mixing,
+    piece_codec,
+    repeated_spans,
+    secrets,
+    simhash_golay,
+    toxicity,
+)
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
 
@@ -105,6 +117,11 @@ def op10_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_piece_codec(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per document with digests of its ids and of their text; NULL counts as empty."""
+    return piece_codec.piece_digest(_documents(spark, sf), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -116,6 +133,7 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_toxicity": op9_toxicity,
     "op10_language_mixture": op10_language_mixture,
+    "op11_piece_codec": op11_piece_codec,
 }
 
 ORACLES = {
