@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm import (
     bpe_codec,
+    collocations,
     epsilon_join,
     language_mixture,
     license_scan,
@@ -17,6 +18,7 @@ from glyphmill.llm import (
     secrets,
     simhash_golay,
     toxicity,
+    whitening,
 )
 from glyphmill.llm.columns import held_out
 from glyphmill.sources.corpus import table
@@ -122,6 +124,16 @@ def op11_piece_codec(spark: SparkSession, sf: str) -> DataFrame:
     return piece_codec.piece_digest(_documents(spark, sf), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per usable vector and component."""
+    return whitening.whitened_components(spark, table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations.collocations(_documents(spark, sf).select("text", "lang"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -134,6 +146,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_language_mixture": op10_language_mixture,
     "op11_piece_codec": op11_piece_codec,
+    "op12_whitening": op12_whitening,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -166,5 +180,52 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
   (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT) * size AS taken
 FROM rated
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT lang, unnest(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM pieces
+), counted AS (
+  SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (VALUES (1), (2), (3), (4)) AS sizes(k)
+  WHERE s + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang
+), phrases AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS parts FROM counted WHERE f >= 30
+), cuts AS (
+  SELECT p.lang, p.k, p.phrase, p.f AS a, c AS cut,
+    array_to_string(parts[1 : c], ' ') AS head, array_to_string(parts[c + 1 : p.k], ' ') AS rest
+  FROM phrases p, (VALUES (1), (2), (3)) AS places(c) WHERE c < p.k
+), scored AS (
+  SELECT c.*, h.f AS l, t.f AS r, (2000000::HUGEINT * a // (h.f + t.f))::BIGINT AS score
+  FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.phrase = c.head
+    JOIN phrases t ON t.lang = c.lang AND t.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), covered AS (
+  SELECT p.lang, array_to_string(parts[s : s + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM phrases p, (VALUES (1), (2)) AS places(s), (VALUES (2), (3)) AS sizes(m)
+  WHERE m < p.k AND s + m - 1 <= p.k GROUP BY ALL
+), spans AS (
+  SELECT lang, phrase, max(longer) AS longer FROM (
+    SELECT * FROM covered
+    UNION ALL
+    SELECT lang, array_to_string(parts[3 : 4], ' '), f FROM phrases WHERE k = 4
+  ) GROUP BY lang, phrase
+), kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN spans s ON s.lang = l.lang AND s.phrase = l.phrase
+  WHERE s.longer IS NULL OR 100 * s.longer < 80 * l.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, rank, phrase, a, l, r, n, score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
 """,
 }
