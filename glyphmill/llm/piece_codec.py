@@ -368,16 +368,34 @@ def decode(docs: DataFrame, path: str, ids: str = "piece_ids", out: str = "decod
     return put(docs, {out: udf(docs[f"`{ids}`"])})
 
 
+def recode(docs: DataFrame, path: str, text: str = "text", out: str = "pieces") -> DataFrame:
+    """Add ``out``, a struct of ``ids`` and the ``decoded`` text of them, as ``encode`` and ``decode`` give them.
+
+    One pass through Python, so each task has one worker with one copy of the model.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(load_pieces(path))
+
+    def recode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache = PieceCache(model.value)
+        for texts in batches:
+            ids = encode_texts(texts, cache)
+            yield pa.StructArray.from_arrays([ids, decode_lists(ids, cache.table)], names=["ids", "decoded"])
+
+    udf = F.arrow_udf(recode_batches, "struct<ids: array<int>, decoded: string>").asNondeterministic()
+    return put(docs, {out: udf(docs[f"`{text}`"])})
+
+
 def piece_digest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every text, through ``encode`` and ``decode``.
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every text.
 
     One row per row of ``docs``, a NULL or repeated ``doc_id`` included.
     """
-    ids, decoded = own_name(docs, "ids"), own_name(docs, "decoded")
-    coded = decode(encode(docs.select(doc_id, text), path, text, ids).drop(text), path, ids, decoded)
+    pieces = own_name(docs, "pieces")
+    coded = recode(docs.select(doc_id, text), path, text, pieces)
+    ids, decoded = F.col(f"{pieces}.ids"), F.col(f"{pieces}.decoded")
     return coded.select(
         F.col(doc_id).alias("doc_id"),
         F.size(ids).cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col(ids).cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col(decoded).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -20,11 +20,12 @@ from glyphmill.llm import (
     toxicity,
     whitening,
 )
-from glyphmill.llm.columns import held_out
+from glyphmill.llm.columns import bound_batches, held_out
 from glyphmill.sources.corpus import table
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    bound_batches(spark)
     return table(spark, sf, "documents")
 
 

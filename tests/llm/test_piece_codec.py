@@ -44,6 +44,15 @@ def test_ids_and_round_trip(make_docs):
     assert piece_codec.encode(make_docs([]), PATH).count() == 0
 
 
+def test_both_ways_in_one_pass(make_docs):
+    rows = piece_codec.recode(make_docs(TEXTS), PATH, out="both").collect()
+    for row in rows:
+        ids = OWN.encode(row["text"] or "")
+        assert (row["both"]["ids"], row["both"]["decoded"]) == (ids, OWN.decode(ids))
+    digests = piece_codec.piece_digest(make_docs([*TEXTS, (None, "a")]), PATH).collect()
+    assert len(digests) == len(TEXTS) + 1 and {r["n_tokens"] for r in digests} >= {0}
+
+
 def test_any_ids_decode_like_the_library(spark):
     rng = random.Random(3)
     some = [0, 1, 2, 3, 197, 242, 162, 132, 259, 260, 262, 264, 29871, 31999]
