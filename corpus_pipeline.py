@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.llm import bpe_codec, mixing, secrets, simhash_golay, toxicity
-from glyphmill.llm.columns import own_name
+from glyphmill.llm.columns import bound_batches, own_name
 from glyphmill.llm.queries import tokenizer_path
 from glyphmill.session import write_table
 from glyphmill.sources.corpus import table
@@ -14,6 +14,7 @@ from glyphmill.sources.corpus import table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of being toxic is below one half, with their columns."""
+    bound_batches(spark)
     score = own_name(docs, "score")
     model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, model, out=score).filter(F.col(score) < 0.5).drop(score)
@@ -21,6 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
+    bound_batches(spark)
     return simhash_golay.drop_near_duplicates(docs)
 
 
@@ -36,6 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Columns of the documents with the token ids of the text, and whether they decode to it again."""
+    bound_batches(spark)
     decoded, path = own_name(docs, "decoded"), tokenizer_path()
     coded = bpe_codec.decode(bpe_codec.encode(docs, path, out="ids"), path, "ids", decoded)
     same = F.col(decoded) == F.coalesce(F.col("text"), F.lit(""))
