@@ -1,28 +1,24 @@
 """Distributed byte-pair training with exact greedy results.
 
-The word table stays on the executors. Each round brings back the leading pairs and the counts of
-the symbol triples around them, which is enough to accept many merges at once and still give the
-list that one-merge-at-a-time training gives.
+Words stay on the executors, in blocks with an index from pairs to words. Each round merges in the
+words the index names and brings back how the counts of the leading pairs changed, with the counts of
+the symbol triples around them. That is enough to accept many merges at once and still give the list
+that one-merge-at-a-time training gives.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import heapq
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.operators.counts import (
-    adjacent,
-    fold_replacements,
-    pair_counts,
-    pretoken_counts,
-    top_pairs,
-    words_of,
-)
+from glyphmill.operators import pair_index
+from glyphmill.operators.counts import pretoken_counts, top_pairs, words_of
 from glyphmill.schemas import HEX_MERGES, NAMED_TOKENS
-from glyphmill.session import local_table
+from glyphmill.session import local_table, write_table
 from glyphmill.sources import state
 
 # Pairs looked at per round, least and most. A pair beyond them is left to the next round, so the
@@ -31,12 +27,15 @@ FEWEST_LEADERS, MOST_LEADERS = 48, 384
 # A second query asks for the context of the leaders when more than this many of the first ones
 # were not guessed in the round before.
 FIRST_LEADERS, UNKNOWN_LEADERS = 10, 2
-# Rounds after which the word table and the merges are committed.
-COMMIT_ROUNDS = 16
-# Words one task works on at most, before each round.
-WORDS_PER_TASK = 500_000
+# Rounds after which blocks and merges are committed. This also cuts the plans of the cached blocks, whose
+# analysis takes twice as long with every round.
+COMMIT_ROUNDS = 6
+# Words of a task: it is not worth having more tasks than these make, or fewer.
+LEAST_WORDS, WORDS_PER_TASK = 5_000, 500_000
+# Pairs whose counts the driver follows from round to round.
+FOLLOWED = 4096
 
-Pair = tuple[str, str]
+Pair = pair_index.Pair
 
 
 @dataclass
@@ -48,125 +47,85 @@ class TrainedMerges:
     rounds: int = 0
 
 
-def replacements(merges: Iterable[Pair]) -> Column:
-    """Literal array of symbol replacements; Spark folds it into a constant."""
-    rows = ",".join(
-        f'{{"old":"<{left}><{right}>","new":"<{left}{right}>"}}' for left, right in merges
-    )
-    return F.from_json(F.lit(f"[{rows}]"), "array<struct<old:string,new:string>>")
-
-
-def apply_merges(words: DataFrame, merges: Sequence[Pair]) -> DataFrame:
-    if not merges:
-        return words
-    return words.select(fold_replacements(F.col("sym"), replacements(merges)).alias("sym"), "cnt")
+@dataclass
+class Followed:
+    """Exact counts of the leading pairs.
 
+    ``floor`` is the place in greedy order, as ``(n, l, r)``, beneath which all pairs lie that are not
+    followed; None if there are none. Counts of old pairs only fall, so one that is not followed stays
+    beneath it.
+    """
 
-def mergeable(words: DataFrame) -> DataFrame:
-    """Words that still have a pair."""
-    return words.filter("instr(sym, '><') > 0")
+    counts: dict[Pair, int] = field(default_factory=dict)
+    floor: tuple[int, str, str] | None = None
 
+    @classmethod
+    def counted(cls, pairs: DataFrame) -> Followed:
+        rows = [(r["n"], r["l"], r["r"]) for r in top_pairs(pairs, FOLLOWED).collect()]
+        return cls({(left, right): n for n, left, right in rows}, rows[-1] if len(rows) == FOLLOWED else None)
 
-def context_counts(words: DataFrame, candidates: Sequence[Pair]) -> DataFrame:
-    """What surrounds each candidate pair ``(l, r)``, from the triples that start or end with it.
+    def leaders(self, k: int) -> list[tuple[str, str, int]]:
+        """The first ``k`` pairs in greedy order."""
+        first = heapq.nlargest(k, ((n, *pair) for pair, n in self.counts.items()))
+        return [(left, right, n) for n, left, right in first]
 
-    ``bound`` is the greatest count of such a triple, ``before`` and ``after`` the outer symbols of
-    the most frequent ones, ``overlaps`` the triples that hold two candidates. A list has at most one
-    entry per candidate, whatever the size of the data.
-    """
-    wanted = ",".join(f"'{left}|{right}'" for left, right in candidates)
-    return words.sparkSession.sql(
-        f"""
-        WITH triples AS (
-            SELECT a, b, c, leads, ends, sum(cnt) AS n
-            FROM (
-                SELECT *, concat(a, '|', b) IN ({wanted}) AS leads, concat(b, '|', c) IN ({wanted}) AS ends
-                FROM {{runs}}
-            )
-            WHERE leads OR ends
-            GROUP BY a, b, c, leads, ends
-        )
-        SELECT l, r, max(n) AS bound, collect_list(overlap) AS overlaps,
-            max_by(x, n) FILTER (WHERE NOT leading) AS before,
-            max_by(x, n) FILTER (WHERE leading) AS after
-        FROM (
-            SELECT inline(array(
-                if(leads, struct(a AS l, b AS r, c AS x, true AS leading, n, if(ends, struct(c, n), null) AS overlap), null),
-                if(ends, struct(b AS l, c AS r, a AS x, false AS leading, n, CAST(null AS struct<c:string,n:bigint>) AS overlap), null)
-            ))
-            FROM triples
-        )
-        WHERE l IS NOT NULL
-        GROUP BY l, r
-        """,
-        runs=adjacent(words, "a", "b", "c"),
-    )
+    def update(self, rows: Sequence[Row], cut: bool, names: pair_index.Names) -> None:
+        """Take over changes and new pairs; with ``cut`` new pairs that are not told lie at or beneath the last one's count."""
+        hexes = names.hexes
+        for row in rows:
+            pair = (hexes[row["a"]], hexes[row["b"]]) if row["kind"] in (pair_index.CHANGE, pair_index.CREATED) else None
+            if pair:
+                self.counts[pair] = row["n"] + self.counts.get(pair, 0)
+        if cut:
+            self.floor = max(self.floor or (0, "", ""), (rows[-1]["n"] + 1, "", ""))
+        lowest = self.floor or (1, "", "")
+        self.counts = {pair: n for pair, n in self.counts.items() if n > 0 and (n, *pair) >= lowest}
+        if len(self.counts) > 2 * FOLLOWED:
+            kept = self.leaders(FOLLOWED)
+            self.counts = {(left, right): n for left, right, n in kept}
+            self.floor = (kept[-1][2], *kept[-1][:2])
 
 
 @dataclass
-class Round:
-    """Counts of one round: pairs in greedy order, and the context of the candidates asked for."""
+class Contexts:
+    """What surrounds candidate pairs: a bound on the count of any triple that starts or ends with one, the
+    counts of triples that hold two of them, and the most frequent neighbours on both sides."""
 
-    leaders: list[tuple[str, str, int]] = field(default_factory=list)
     bounds: dict[Pair, int] = field(default_factory=dict)
     overlaps: dict[tuple[str, str, str], int] = field(default_factory=dict)
-    outer: dict[Pair, tuple[str | None, str | None]] = field(default_factory=dict)
+    outer: dict[Pair, dict[int, str]] = field(default_factory=dict)
 
-    def read(self, rows: Iterable[Row], candidates: Sequence[Pair]) -> None:
-        self.bounds.update(dict.fromkeys(candidates, 0))
+    @classmethod
+    def read(cls, rows: Iterable[Row], candidates: Iterable[Pair], names: pair_index.Names) -> Contexts:
+        found, hexes = cls(dict.fromkeys(candidates, 0)), names.hexes
         for row in rows:
-            pair = (row["l"], row["r"])
-            if row["overlaps"] is None:
-                self.leaders.append((*pair, row["bound"]))
-                continue
-            self.bounds[pair] = row["bound"]
-            self.outer[pair] = (row["before"], row["after"])
-            for o in row["overlaps"]:
-                self.overlaps[(*pair, o["c"])] = o["n"]
-        self.leaders.sort(key=lambda p: (p[2], p[0], p[1]), reverse=True)
-
-    def guess(self, chosen: Sequence[tuple[str, str, int]]) -> list[Pair]:
+            if row["kind"] == pair_index.OVERLAP:
+                found.overlaps[hexes[row["a"]], hexes[row["b"]], hexes[row["c"]]] = row["n"]
+            elif row["kind"] == pair_index.CONTEXT:
+                pair = (hexes[row["a"]], hexes[row["b"]])
+                found.bounds[pair] = max(found.bounds[pair], row["n"])
+                found.outer.setdefault(pair, {})[row["c"]] = hexes[row["outer"]]
+        return found
+
+    def guess(self, leaders: Sequence[tuple[str, str, int]], chosen: Sequence[tuple[str, str, int]]) -> list[Pair]:
         """Likely leaders of the next round: those left over, and accepted pairs grown by a symbol."""
         done = {p[:2] for p in chosen}
-        made = {p: p[0] + p[1] for p in done}
         grown = []
-        for pair in done:
-            before, after = self.outer.get(pair, (None, None))
+        for left, right in done:
             # The neighbour may have been merged away in the same round; then the guess is idle.
-            grown += [(before, made[pair])] if before else []
-            grown += [(made[pair], after)] if after else []
-        return list(dict.fromkeys([p[:2] for p in self.leaders if p[:2] not in done] + grown))
-
-
-def round_counts(words: DataFrame, k: int, candidates: Sequence[Pair]) -> Round:
-    """Leading pairs, and the context of ``candidates``, in one query.
-
-    When too many leaders were not among the candidates their context takes a second query.
-    """
-    found = Round()
-    leaders = top_pairs(pair_counts(words), k).selectExpr(
-        "l",
-        "r",
-        "n AS bound",
-        "CAST(null AS array<struct<c:string,n:bigint>>) AS overlaps",
-        "CAST(null AS string) AS before",
-        "CAST(null AS string) AS after",
-    )
-    query = leaders.unionByName(context_counts(words, candidates)) if candidates else leaders
-    found.read(query.collect(), candidates)
-    first = [p[:2] for p in found.leaders]
-    if k > 1 and sum(p not in found.bounds for p in first[:FIRST_LEADERS]) > UNKNOWN_LEADERS:
-        missing = [p for p in first if p not in found.bounds]
-        # Overlaps count between any two candidates, so all leaders are asked for again.
-        found.read(context_counts(words, first).collect(), missing)
-    return found
+            beside = self.outer.get((left, right), {})
+            if pair_index.BEFORE in beside:
+                grown.append((beside[pair_index.BEFORE], left + right))
+            if pair_index.AFTER in beside:
+                grown.append((left + right, beside[pair_index.AFTER]))
+        return list(dict.fromkeys([p[:2] for p in leaders if p[:2] not in done] + grown))
 
 
 def accept(
     leaders: Sequence[tuple[str, str, int]],
     bounds: dict[Pair, int],
     overlaps: dict[tuple[str, str, str], int],
-    known: set[str],
+    known: Collection[str],
     room: int,
 ) -> list[tuple[str, str, int]]:
     """Longest prefix of the greedy merge list that the counts of this round decide.
@@ -211,70 +170,102 @@ def train_merges(
     batched: bool = True,
     commit_rounds: int = COMMIT_ROUNDS,
 ) -> TrainedMerges:
-    """Greedy merges of a word table ``(sym, cnt)``.
+    """Greedy merges of a word table ``(sym, cnt)`` at byte level.
+
+    Pairs are counted once. After that a round is one job, which merges in the words the index names and
+    brings back how the counts of followed pairs changed. When the followed pairs are used up, or a merge
+    builds a symbol that exists already, pairs are counted anew.
 
-    With ``run_dir`` the word table and the merges so far are committed there each time the table
-    is rewritten, and a later call with the same folder goes on from the last commit. A folder of
-    another word table is refused.
+    With ``run_dir`` the blocks and the merges so far are committed there every ``commit_rounds`` rounds,
+    and a later call with the same folder goes on from the last commit. A folder of another word table is
+    refused.
     """
     spark = words.sparkSession
+    words = write_table(words.select("sym", "cnt"), "words")
     mark = state.fingerprint(words) if run_dir else ""
-    run_dir = run_dir or state.new_run(spark, "bpe")
-    trained = TrainedMerges()
-    step = state.latest_step(spark, run_dir)
+    trained, names = TrainedMerges(), pair_index.Names()
+    step = state.latest_step(spark, run_dir) if run_dir else None
     if step is None:
-        state.save_step(spark, run_dir, 0, mark, words=mergeable(words), merges=_merge_rows(spark, trained))
-        step = 0
+        n_words = words.count()
+        tasks = max(1, min(spark.sparkContext.defaultParallelism, n_words // LEAST_WORDS), n_words // WORDS_PER_TASK)
+        current, step = pair_index.build_blocks(words, tasks).persist(), 0
     else:
-        for row in state.load_step(spark, run_dir, step, mark)["merges"].orderBy("rank").collect():
+        tables = state.load_step(spark, run_dir, step, mark)
+        for row in tables["merges"].orderBy("rank").collect():
             trained.merges.append((row["l"], row["r"]))
             trained.counts.append(row["n"])
+            names.add(row["l"] + row["r"])
         trained.merges, trained.counts = trained.merges[:n_merges], trained.counts[:n_merges]
-    current = _spread_words(spark, run_dir, step)
+        current = tables["blocks"].persist()
+    alone = current.rdd.getNumPartitions() == 1 and pair_index.blocks_of(current).count() == 1
     held: list[DataFrame] = []
-    uncommitted, n_leaders, guess = 0, FEWEST_LEADERS, []
+    followed, contexts, n_leaders, uncommitted = None, Contexts(), FEWEST_LEADERS, 0
     while len(trained.merges) < n_merges:
+        if followed is None:
+            followed, contexts = Followed.counted(pair_index.all_pair_counts(current, names)), Contexts()
         room = n_merges - len(trained.merges)
-        if batched and room > 1:
-            counted = round_counts(current, n_leaders, guess)
-        else:
-            counted = round_counts(current, 1, [])
-        if not counted.leaders:
+        leaders = followed.leaders(n_leaders if batched and room > 1 else 1)
+        if not leaders and followed.floor is None:
             break
-        known = {left + right for left, right in trained.merges}
-        chosen = accept(counted.leaders, counted.bounds, counted.overlaps, known, room if batched else 1)
+        if not leaders:
+            followed = None
+            continue
+        if len(leaders) > 1 and sum(p[:2] not in contexts.bounds for p in leaders[:FIRST_LEADERS]) > UNKNOWN_LEADERS:
+            first = [p[:2] for p in leaders]
+            rows = pair_index.added_up(pair_index.candidate_contexts(current, first, names)).collect()
+            contexts = Contexts.read(rows, first, names)
+        chosen = accept(leaders, contexts.bounds, contexts.overlaps, names.number, room if batched else 1)
         trained.rounds += 1
         trained.merges += [p[:2] for p in chosen]
         trained.counts += [p[2] for p in chosen]
-        guess = counted.guess(chosen)
+        # Another pair may gain from a symbol that exists already: what is not followed is then unknown.
+        anew = any(left + right in names.number for left, right, _ in chosen)
+        for left, right, _ in chosen:
+            names.add(left + right)
+        if len(trained.merges) == n_merges:
+            break
         n_leaders = min(max(4 * len(chosen), FEWEST_LEADERS), MOST_LEADERS)
-        # The next word table is cached while the next round counts it, so each merge is applied
-        # once. The chain of cached tables ends at the last committed one.
-        merged, before = apply_merges(current, [p[:2] for p in chosen]), current
-        uncommitted += 1
+        guess = contexts.guess(leaders, chosen)[: 2 * n_leaders] if batched else []
+        merged = pair_index.merge_blocks(current, [p[:2] for p in chosen], list(followed.counts), guess, names).persist()
+        rows, cut = _told(merged, followed, len(guess), alone)
+        contexts = Contexts.read(rows, guess, names)
+        followed = None if anew else followed
+        if followed:
+            followed.update(rows, cut, names)
+        held.append(current)
+        current, uncommitted = merged, uncommitted + 1
         if uncommitted == commit_rounds:
-            step, uncommitted = step + 1, 0
-            state.save_step(spark, run_dir, step, mark, words=mergeable(merged), merges=_merge_rows(spark, trained))
-            current = _spread_words(spark, run_dir, step)
-            for old in [*held, before]:
-                old.unpersist()
-            held = []
-        else:
-            current = merged.persist()
-            held.append(before)
-            for old in held[:-1]:
-                old.unpersist()
-            held = held[-1:]
-    for old in [*held, current]:
-        old.unpersist()
+            uncommitted = 0
+            held.append(merged)
+            if run_dir:
+                step += 1
+                state.save_step(spark, run_dir, step, mark, blocks=pair_index.blocks_of(merged), merges=_merge_rows(spark, trained))
+                current = state.load_step(spark, run_dir, step)["blocks"].persist()
+            else:
+                current = write_table(pair_index.blocks_of(merged), "blocks").persist()
+            alone = alone and current.rdd.getNumPartitions() == 1
+        # The blocks before these are no longer read.
+        for old in held:
+            old.unpersist()
+        held = []
+    current.unpersist()
     return trained
 
 
-def _spread_words(spark: SparkSession, run_dir: str, step: int) -> DataFrame:
-    """Stored word table, cached in as many even partitions as the cluster has cores, or more."""
-    words = state.load_step(spark, run_dir, step)["words"]
-    tasks = max(spark.sparkContext.defaultParallelism, words.count() // WORDS_PER_TASK)
-    return words.repartition(tasks).persist()
+def _told(merged: DataFrame, followed: Followed, n_candidates: int, alone: bool) -> tuple[list[Row], bool]:
+    """What a round brings to the driver, and whether some new pairs were left out.
+
+    All changes and contexts, and of new pairs that may be followed the most frequent ones: at most one row
+    for each followed pair, a few for each candidate and each two of them, and ``FOLLOWED`` more.
+    """
+    # What a single block tells is added up already.
+    rows = merged.filter(F.col("kind") != pair_index.BLOCK).drop("block") if alone else pair_index.added_up(merged)
+    is_new = F.col("kind") == pair_index.CREATED
+    if followed.floor:
+        rows = rows.filter(~is_new | (F.col("n") >= followed.floor[0]))
+    most = len(followed.counts) + n_candidates * (n_candidates + 2) + FOLLOWED
+    found = rows.orderBy(is_new, F.desc("n")).limit(most).collect()
+    return found, len(found) == most
 
 
 def _merge_rows(spark: SparkSession, trained: TrainedMerges) -> DataFrame:

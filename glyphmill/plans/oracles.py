@@ -248,12 +248,18 @@ ORACLES = {
             FROM pieces JOIN piece_ids USING (piece) GROUP BY conv_id, turn
         )
         SELECT conv_id, turn, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ' ') AS ids FROM turns""",
+    "fit_parameter_table": _fit_trace(),
     "fit_softmax_regression": _fit_trace(),
     "group_softmax": """
         WITH s AS (SELECT doc_id, lang, 4 * ln(n_chars) AS score FROM documents),
         t AS (SELECT *, max(score) OVER (PARTITION BY lang) AS top FROM s)
         SELECT doc_id, lang,
             round(exp(score - top) / sum(exp(score - top)) OVER (PARTITION BY lang), 6) + 0.0 AS p FROM t""",
+    "linear_map": """
+        WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)
+        SELECT a.vec_id, count(*) AS n_outputs, round(sum(list_dot_product(a.x, b.x)), 3) + 0.0 AS total,
+            round(max(list_dot_product(a.x, b.x)), 4) + 0.0 AS largest
+        FROM v a, v b GROUP BY a.vec_id""",
     "lr_schedule": """
         WITH n AS (SELECT (max(doc_id) + 1) // 20 AS tw, (max(doc_id) + 1) * 9 // 10 AS tc FROM documents)
         SELECT doc_id AS it, round(CASE
@@ -319,6 +325,7 @@ ORACLES = {
                 AND k * share + 5 * sqrt(k * share * (1 - share)) AS inside
         FROM bins LEFT JOIN hits USING (bin)""",
     "stream_encode": f"{_ENCODED} {_SHOWN_IDS}",
+    "stream_encode_pieces": f"{_ENCODED} {_SHOWN_IDS}",
     "stream_pretoken_counts": f"WITH {_COUNTS} SELECT pretoken, cnt FROM counted",
     "table_diff": """
         SELECT coalesce(d.doc_id, l.doc_id)::VARCHAR AS key, CAST(0 AS INTEGER) AS idx,

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from glyphmill.functions import schedule, text, vector
-from glyphmill.operators import bpe, codec, counts, diff, fit, metrics, token_stream, vectors
+from glyphmill.operators import bpe, codec, counts, diff, fit, metrics, parameter_table, tiles, token_stream, vectors
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.schemas import DOCUMENTS
 from glyphmill.session import new_path, write_table
 from glyphmill.sources import corpus, tokenizer_files
-from glyphmill.streaming import live
+from glyphmill.streaming import live, pieces
 
 # Parameters shared with the oracle SQL.
 N_MERGES = 16
@@ -240,6 +240,22 @@ def project_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return y.select("vec_id", "label", _rounded("value"))
 
 
+def linear_map(spark: SparkSession, sf: str) -> DataFrame:
+    """All embeddings through the map whose rows are all embeddings: the outputs of each, summed up."""
+    rows = _table(spark, sf, "embeddings")
+    y = tiles.matrix_product(rows, rows, "vec_id", "embedding", "vec_id", "embedding").values
+    whole = y.select(
+        F.col("key").alias("vec_id"),
+        F.size("y").alias("n"),
+        F.aggregate("y", F.lit(0.0), lambda s, v: s + v).alias("total"),
+        F.array_max("y").alias("largest"),
+    )
+    sums = whole.groupBy("vec_id").agg(
+        F.sum("n").alias("n_outputs"), F.sum("total").alias("total"), F.max("largest").alias("largest")
+    )
+    return sums.select("vec_id", "n_outputs", _rounded("total", 3), _rounded("largest"))
+
+
 def context_windows(spark: SparkSession, sf: str) -> DataFrame:
     stream = _stream(spark, sf, CONTEXT)
     windows = token_stream.context_windows(stream, CONTEXT, stream.n_tokens // TOKENS_PER_SAMPLE, SEED)
@@ -385,6 +401,15 @@ def fit_softmax_regression(spark: SparkSession, sf: str) -> DataFrame:
     return _trace(spark, fit.fit_softmax_regression(rows, "embedding", "label", _n_classes(rows), FIT))
 
 
+def fit_parameter_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The fit with its parameters in a table of four pieces."""
+    rows = _embeddings(spark, sf)
+    model = parameter_table.fit_parameter_table(rows, "embedding", "label", _n_classes(rows), FIT, tile_width=16)
+    return parameter_table.trace_table(spark, model).select(
+        "step", _rounded("rate", 6), _rounded("loss", 6), _rounded("grad_norm", 6)
+    )
+
+
 def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
     """The same fit stopped half-way and resumed from its last committed step."""
     rows = _embeddings(spark, sf)
@@ -420,6 +445,30 @@ def stream_encode(spark: SparkSession, sf: str) -> DataFrame:
     return _shown_ids(spark.read.parquet(f"{out}/data"))
 
 
+def stream_encode_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in pieces of 1,000 characters, the later half of each arriving before the earlier one."""
+    out = new_path(spark, "pieces-stream")
+    docs = _texts(spark, sf, "doc_id", "text").filter("text IS NOT NULL")
+    n = F.greatest(F.ceil(F.length("text") / 1000), F.lit(1))
+    cut = docs.select("doc_id", "text", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("seq"))
+    rows = cut.select(
+        "doc_id",
+        "seq",
+        F.substr("text", F.col("seq").cast("int") * 1000 + 1, F.lit(1000)).alias("piece"),
+        (F.col("seq") == F.col("n") - 1).alias("last"),
+        (2 * F.col("seq") < F.col("n")).alias("early"),
+    )
+    written = write_table(rows, "pieces").persist()
+    log, data = f"{out}/log", f"{out}/data"
+    schema = "doc_id bigint, seq bigint, piece string, last boolean"
+    for early in (False, True):
+        written.filter(F.col("early") == early).drop("early").write.mode("append").parquet(f"{out}/in")
+        arriving = spark.readStream.schema(schema).parquet(f"{out}/in")
+        pieces.stream_encode_pieces(arriving, _tokenizer(spark, sf), data, log).awaitTermination()
+    written.unpersist()
+    return _shown_ids(pieces.whole_ids(spark, data))
+
+
 def stream_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = new_path(spark, "count-stream")
     docs = _arriving(spark, sf, "text")
@@ -444,8 +493,10 @@ QUERIES = {
     "embedding_lookup": embedding_lookup,
     "encode_documents": encode_documents,
     "encode_from_files": encode_from_files,
+    "fit_parameter_table": fit_parameter_table,
     "fit_softmax_regression": fit_softmax_regression,
     "group_softmax": group_softmax,
+    "linear_map": linear_map,
     "lr_schedule": lr_schedule,
     "merges_load": merges_load,
     "pair_counts": pair_counts,
@@ -458,6 +509,7 @@ QUERIES = {
     "special_split": special_split,
     "start_uniformity": start_uniformity,
     "stream_encode": stream_encode,
+    "stream_encode_pieces": stream_encode_pieces,
     "stream_pretoken_counts": stream_pretoken_counts,
     "table_diff": table_diff,
     "table_diff_exact": table_diff_exact,
