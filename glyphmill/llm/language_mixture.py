@@ -1,8 +1,8 @@
 """Language identification by inference of a mixture of languages per document.
 
 Words are drawn from languages in unknown proportions, and letter n-grams give the likelihood of a
-word in each language. Expectation-maximisation finds the proportions; the set of languages is the
-one whose likelihood, less a penalty for each language, is greatest.
+word in each language. Expectation-maximisation finds the proportions; the set of languages grows, in the
+order of their proportions, while the likelihood less a penalty for each language does.
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ GRAMS = 1 << GRAM_BITS
 # Neighbouring n-grams overlap, so their log-likelihoods count by this factor.
 TEMPER = 0.4
 SMOOTHING = 0.5
+# Steps that rank the languages of a text, and how far and how long those of a chosen set go.
 STEPS = 12
+TOLERANCE, MOST_STEPS = 0.002, 60
 MOST_LANGUAGES = 1_000
-# Languages a document may mix, at most, and what each costs per log of the words.
-SET_SIZE = 3
+# What each language of a document costs per log of the words.
 PENALTY = 2.0
 UNDETERMINED = "und"
 
@@ -78,26 +79,38 @@ def train_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc
     known = docs.filter(docs[f"`{lang}`"].isNotNull() & ~held_out(docs[f"`{doc_id}`"]))
     rows = known.select(known[f"`{text}`"].alias("text"), known[f"`{lang}`"].cast("string").alias("lang"))
     counts = rows.mapInArrow(_count, "name string, gram int, n bigint").groupBy("name", "gram").agg(F.sum("n").alias("n"))
-    found = counts.limit(MOST_LANGUAGES * GRAMS).toPandas()
-    names = sorted(found["name"].unique())
-    if len(names) > MOST_LANGUAGES:
+    if rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError(f"at most {MOST_LANGUAGES} languages are told apart")
+    found = counts.toPandas()
+    names = sorted(found["name"].unique())
     number = {name: i for i, name in enumerate(names)}
     n = np.full((GRAMS, len(names)), SMOOTHING, np.float64)
     n[found["gram"].to_numpy(np.int64), found["name"].map(number).to_numpy(np.int64)] += found["n"].to_numpy(np.float64)
     return LanguageModel(tuple(names), np.log(n / n.sum(axis=0)).astype(np.float32))
 
 
-def _mixture(like: np.ndarray, firsts: np.ndarray, text: np.ndarray, share: np.ndarray, steps: int) -> np.ndarray:
-    """Proportions per text that raise the likelihood of its words, from a first guess."""
+def _mixture(like: np.ndarray, firsts: np.ndarray, text: np.ndarray, share: np.ndarray, steps: int, tolerance: float = 0.0) -> np.ndarray:
+    """Proportions per text that raise the likelihood of its words, from a first guess.
+
+    Ends after ``steps``, or once no proportion moves by ``tolerance`` any more.
+    """
     n = np.diff(np.append(firsts, len(like)))[:, None]
     for _ in range(steps):
         joint = like * share[text]
         joint /= joint.sum(axis=1, keepdims=True)
-        share = np.add.reduceat(joint, firsts, axis=0) / n
+        before, share = share, np.add.reduceat(joint, firsts, axis=0) / n
+        if np.abs(share - before).max() < tolerance:
+            break
     return share
 
 
+def _of_texts(chosen: np.ndarray, like: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of some texts: their likelihoods, where each text begins, and the number of each word's text."""
+    keep = chosen[text]
+    number = (np.cumsum(chosen) - 1)[text[keep]]
+    return like[keep], np.flatnonzero(np.append(True, number[1:] != number[:-1])), number
+
+
 def infer(model: LanguageModel, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per text the proportions of the languages, zero outside the chosen set, and which texts have words."""
     n_texts, n_langs = len(bounds) - 1, len(model.names)
@@ -116,16 +129,24 @@ def infer(model: LanguageModel, data: np.ndarray, bounds: np.ndarray) -> tuple[n
     order = np.argsort(-full, axis=1, kind="stable")
     penalty = PENALTY * np.log1p(np.diff(np.append(firsts, len(word_text))))
     best, chosen = np.full(len(firsts), -np.inf), np.zeros_like(full)
-    for size in range(1, min(SET_SIZE, n_langs) + 1):
-        share = np.zeros_like(full)
-        rows = np.arange(len(firsts))[:, None]
-        share[rows, order[:, :size]] = np.maximum(full[rows, order[:, :size]], 1e-6)
+    # A set grows by the next language as long as that pays for its penalty.
+    growing = np.ones(len(firsts), bool)
+    for size in range(1, n_langs + 1):
+        own, own_firsts, own_text = _of_texts(growing, like, text)
+        share = np.zeros((int(growing.sum()), n_langs))
+        rows, first = np.arange(len(share))[:, None], order[growing, :size]
+        share[rows, first] = np.maximum(full[growing][rows, first], 1e-6)
         share /= share.sum(axis=1, keepdims=True)
         if size > 1:
-            share = _mixture(like, firsts, text, share, STEPS // 2)
-        fit = np.add.reduceat(np.log((like * share[text]).sum(axis=1)), firsts) - size * penalty
-        better = fit > best
-        best[better], chosen[better] = fit[better], share[better]
+            share = _mixture(own, own_firsts, own_text, share, MOST_STEPS, TOLERANCE)
+        fit = np.add.reduceat(np.log((own * share[own_text]).sum(axis=1)), own_firsts) - size * penalty[growing]
+        better = fit > best[growing]
+        grown = np.flatnonzero(growing)[better]
+        best[grown], chosen[grown] = fit[better], share[better]
+        growing = np.zeros(len(firsts), bool)
+        growing[grown] = True
+        if not len(grown):
+            break
     result[present] = chosen
     has_words = np.zeros(n_texts, bool)
     has_words[present] = True

@@ -39,6 +39,51 @@ def test_languages_of_held_out_texts(make_docs):
     assert [c["lang"] for c in chosen] == ["de", "fr"] and abs(chosen[0]["share"] - 2 / 3) < 0.1
 
 
+def plain_set(like):
+    """Proportions of one text from the likelihoods of its words, grown language by language."""
+    n, n_langs = like.shape
+    full = np.full(n_langs, 1 / n_langs)
+    for _ in range(language_mixture.STEPS):
+        joint = like * full
+        full = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+    order, best, chosen = np.argsort(-full, kind="stable"), -np.inf, None
+    for size in range(1, n_langs + 1):
+        share = np.zeros(n_langs)
+        share[order[:size]] = np.maximum(full[order[:size]], 1e-6)
+        share /= share.sum()
+        for _ in range(400 if size > 1 else 0):
+            joint = like * share
+            share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        fit = np.log((like * share).sum(axis=1)).sum() - size * language_mixture.PENALTY * np.log1p(n)
+        if fit <= best:
+            break
+        best, chosen = fit, share
+    return chosen
+
+
+def test_sets_grow_beyond_three_languages():
+    rng, names = random.Random(5), [f"l{i}" for i in range(6)]
+    words = {name: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(4, 8))) for _ in range(40)] for name in names}
+    texts = {name: " ".join(rng.choices(words[name], k=4000)) for name in names}
+    n = np.full((language_mixture.GRAMS, 6), language_mixture.SMOOTHING)
+    for i, name in enumerate(names):
+        data = np.frombuffer(texts[name].encode(), np.uint8)
+        n[:, i] += np.bincount(language_mixture._grams(data, np.array([0, len(data)]))[0], minlength=language_mixture.GRAMS)
+    model = language_mixture.LanguageModel(tuple(names), np.log(n / n.sum(axis=0)).astype(np.float32))
+    mixes = [names[:k] for k in (1, 2, 4, 6, 3)]
+    docs = [" ".join(rng.choice(words[name]) for name in mix for _ in range(60)) for mix in mixes]
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    bounds = np.append(0, np.cumsum([len(d) for d in docs]))
+    share, _ = language_mixture.infer(model, data, bounds)
+    for i, mix in enumerate(mixes):
+        assert [names[j] for j in np.flatnonzero(share[i])] == mix
+        assert np.abs(share[i][share[i] > 0] - 1 / len(mix)).max() < 0.05
+        slot, starts, _ = language_mixture._grams(data[bounds[i] : bounds[i + 1]], np.array([0, len(docs[i])]))
+        log_like = np.add.reduceat(model.log_p[slot], starts, axis=0) * language_mixture.TEMPER
+        like = np.exp(np.maximum(log_like - log_like.max(axis=1, keepdims=True), -30.0))
+        np.testing.assert_allclose(share[i], plain_set(like), atol=0.02)
+
+
 def test_languages_without_anything_to_learn_from(make_docs):
     docs = make_docs([(1, "text", None, "s")])
     model = language_mixture.train_languages(docs)
