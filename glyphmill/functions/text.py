@@ -1,6 +1,6 @@
 """Column expressions over text: special-token splits, pre-tokens, byte symbols, printable bytes.
 
-All of them run inside the JVM; none needs a shuffle.
+They run inside the JVM but for splits at many special tokens; none needs a shuffle.
 """
 
 from __future__ import annotations
@@ -10,12 +10,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from glyphmill.functions.automaton import split_at_many
+
 # Fixed value: the published GPT-2 pre-token pattern. (?U) gives \s its Unicode meaning.
 PRETOKEN_PATTERN = (
     r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 # Fixed value: the document delimiter of the training corpora.
 END_OF_TEXT = "<|endoftext|>"
+# Special tokens that are looked for one by one; the expression's time grows with their number.
+MANY_SPECIALS = 32
 
 
 def _quoted(tokens: Sequence[str]) -> str:
@@ -28,13 +32,16 @@ def _quoted(tokens: Sequence[str]) -> str:
 def special_split(text: Column, specials: Sequence[str]) -> Column:
     """Array of ordinary segments and special tokens, in order; joining it gives the text back.
 
-    The lazy dot with a lookahead keeps the regex engine's stack flat on texts of any length.
+    The lazy dot with a lookahead keeps the regex engine's stack flat on texts of any length. More than
+    ``MANY_SPECIALS`` tokens are found by an automaton, in Arrow batches.
     """
     specials = [t for t in specials if t]
     if not specials:
         return F.when(F.length(text) > 0, F.array(text)).when(
             text.isNotNull(), F.array().cast("array<string>")
         )
+    if len(set(specials)) > MANY_SPECIALS:
+        return split_at_many(text, specials)
     any_special = _quoted(specials)
     return F.regexp_extract_all(
         text, F.lit(rf"(?s){any_special}|.+?(?={any_special}|\z)"), F.lit(0)

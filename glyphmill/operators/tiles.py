@@ -162,28 +162,23 @@ def group_grid(left_blocks: int, right_blocks: int, parallelism: int, pairs: int
 
 def _grouped(tiles: Tiles, own: str, own_groups: int, other: str, other_groups: int) -> DataFrame:
     """Tiles with their own group, copied to every group of the other side."""
-    return tiles.rows.withColumns(
-        {own: F.pmod(F.xxhash64("block"), F.lit(own_groups)), other: F.explode(F.sequence(F.lit(0), F.lit(other_groups - 1)))}
-    )
+    mine = F.pmod(F.xxhash64("block"), F.lit(own_groups)).cast("int")
+    return tiles.rows.withColumns({own: mine, other: F.explode(F.sequence(F.lit(0), F.lit(other_groups - 1)))})
 
 
-def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
-    """``y = W x`` for each row ``x`` of the left side, the right side having the rows of ``W``.
+def grid_pairs(left: Tiles, right: Tiles) -> DataFrame:
+    """All pairs of blocks, piece by piece: ``(i, j, piece, n, m, x, w, left_keys, right_keys)``.
 
-    What is shuffled is each tile as often as the other side has groups. For tiles at least as high as they are
-    wide this is no more than about the size of the result.
+    What is shuffled is each tile as often as the other side has groups.
     """
-    if left.width != right.width and left.n_blocks and right.n_blocks:
-        raise ValueError(f"rows of {left.width} numbers cannot meet rows of {right.width}")
-    spark = left.rows.sparkSession
-    left_groups, right_groups = group_grid(left.n_blocks, right.n_blocks, spark.sparkContext.defaultParallelism)
+    left_groups, right_groups = group_grid(left.n_blocks, right.n_blocks, left.rows.sparkSession.sparkContext.defaultParallelism)
     a = _grouped(left, "lg", left_groups, "rg", right_groups)
     b = _grouped(right, "rg", right_groups, "lg", left_groups)
     pairs = a.alias("a").join(
         b.alias("b").hint("shuffle_merge"),
         (F.col("a.piece") == F.col("b.piece")) & (F.col("a.lg") == F.col("b.lg")) & (F.col("a.rg") == F.col("b.rg")),
     )
-    pairs = pairs.select(
+    return pairs.select(
         F.col("a.block").alias("i"),
         F.col("b.block").alias("j"),
         F.col("a.piece").alias("piece"),
@@ -191,8 +186,21 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
         F.size("b.keys").alias("m"),
         F.col("a.data").alias("x"),
         F.col("b.data").alias("w"),
+        F.col("a.keys").alias("left_keys"),
+        F.col("b.keys").alias("right_keys"),
     )
 
+
+def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
+    """``y = W x`` for each row ``x`` of the left side, the right side having the rows of ``W``.
+
+    For tiles at least as high as they are wide the shuffle of the tiles is no more than about the size of
+    the result.
+    """
+    if left.width != right.width and left.n_blocks and right.n_blocks:
+        raise ValueError(f"rows of {left.width} numbers cannot meet rows of {right.width}")
+    pairs = grid_pairs(left, right).select("i", "j", "piece", "n", "m", "x", "w")
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):

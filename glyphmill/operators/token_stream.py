@@ -60,6 +60,8 @@ def placed_documents(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids
     task, are added up in one place. A NULL or repeated ``doc_id`` fails the job.
     """
     kept = encoded.filter(F.col(ids).isNotNull()).select(doc_id, ids, (F.size(ids) + extra).cast("bigint").alias("n"))
+    # Finding the ranges reads the rows once more than dealing them out, so they are encoded before.
+    kept = write_table(kept, "encoded")
     ranged = kept.repartitionByRange(doc_id).sortWithinPartitions(doc_id)
     schema = T.StructType([*kept.schema, T.StructField("part", T.IntegerType()), T.StructField("inside", T.LongType())])
     ranged = write_table(ranged.mapInArrow(_running(doc_id), schema), "ranges")

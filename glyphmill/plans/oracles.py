@@ -267,6 +267,22 @@ ORACLES = {
             WHEN doc_id <= tc THEN 0.1::DOUBLE + 0.5 * (1 + cos(pi() * (doc_id - tw) / (tc - tw))) * 0.9::DOUBLE
             ELSE 0.1::DOUBLE END, 6) + 0.0 AS rate
         FROM documents, n""",
+    "masked_vote": f"""
+        WITH {_CENTROIDS},
+        sides AS (SELECT label, c > 0 AS side FROM centroids WHERE i = 0),
+        scores AS (
+            SELECT q.label AS q, k.label AS k, vec_id, sum(x * c) / sqrt(64) AS score
+            FROM dims k JOIN centroids q USING (i) GROUP BY ALL
+        ),
+        seen AS (
+            SELECT s.* FROM scores s JOIN sides ON sides.label = s.q
+            JOIN embeddings e ON e.vec_id = s.vec_id AND (e.embedding[1] > 0) = side
+        ),
+        w AS (SELECT *, exp(score - max(score) OVER (PARTITION BY q)) AS w FROM seen),
+        ids AS (SELECT range AS idx FROM range((SELECT max(label) + 1 FROM embeddings)))
+        SELECT q AS label, CAST(idx AS INTEGER) AS idx,
+            round(sum(CASE WHEN k = idx THEN w ELSE 0 END) / sum(w), 4) + 0.0 AS weight
+        FROM w, ids GROUP BY q, idx""",
     "merges_load": f'{_TRAINED} SELECT rank, l AS "left", r AS "right" FROM merges',
     "pair_counts": f"WITH {_COUNTS} {_pairs('words')}",
     "pretoken_counts": f"WITH {_COUNTS} SELECT pretoken, cnt FROM counted",
@@ -309,6 +325,16 @@ ORACLES = {
         ), flat AS (SELECT conv_id, turn, unnest(range(len(p))) AS pos, unnest(p) AS segment FROM parts)
         SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, segment, segment IN ({_SPECIAL_LIST}) AS is_special
         FROM flat""",
+    "special_split_many": r"""
+        WITH marked AS (
+            SELECT conv_id, turn, regexp_replace(
+                '<|turn ' || turn || '|>' || text || '<|turn ' || turn || '|><|turn ' || (turn + 1) || '|><|turn x|>',
+                '(<\|turn [0-9]+\|>)+', chr(57344) || '\0' || chr(57344), 'g') AS m
+            FROM conversations
+        ), parts AS (
+            SELECT conv_id, turn, list_filter(string_split(m, chr(57344)), lambda p: p <> '') AS p FROM marked
+        )
+        SELECT conv_id, turn, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS segment FROM parts""",
     "start_uniformity": f"""
         WITH total AS (SELECT count(*) AS docs, CAST(sum(strlen(text)) AS BIGINT) AS n FROM documents),
         starts AS ({_STARTS} FROM total, range((SELECT 32 * docs FROM total))),
@@ -361,3 +387,4 @@ ORACLES = {
     "vocab_load": f"{_TRAINED} {_SHOWN_VOCAB}",
     "vocab_specials": f"{_TRAINED} {_SHOWN_VOCAB} UNION ALL SELECT CAST(257 + {r.N_MERGES} AS INTEGER), hex('<|pad|>')",
 }
+ORACLES["table_diff_tree"] = ORACLES["table_diff_exact"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from glyphmill.functions import schedule, text, vector
-from glyphmill.operators import bpe, codec, counts, diff, fit, metrics, parameter_table, tiles, token_stream, vectors
+from glyphmill.operators import bpe, codec, counts, diff, digest_tree, fit, metrics, parameter_table, tiled_vote, tiles, token_stream, vectors
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.schemas import DOCUMENTS
 from glyphmill.session import new_path, write_table
@@ -135,6 +135,18 @@ def special_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def special_split_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns between tokens of their number, of which there are a thousand, and of the next one."""
+    names = [f"<|turn {i}|>" for i in range(1000)] + [f"<|turn {i}|><|turn {i + 1}|>" for i in range(1000)]
+    number = F.concat(F.lit("<|turn "), F.col("turn").cast("string"), F.lit("|>"))
+    following = F.concat(F.lit("<|turn "), (F.col("turn") + 1).cast("string"), F.lit("|>"))
+    turns = _table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.concat(number, "text", number, following, F.lit("<|turn x|>")).alias("text")
+    )
+    parts = text.special_split(F.col("text"), names)
+    return turns.select("conv_id", "turn", F.posexplode(parts).alias("pos", "segment"))
+
+
 def pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.pretoken_counts(_texts(spark, sf, "text"))
 
@@ -205,8 +217,8 @@ def embedding_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """The vector of every token of the documents that has one, as a digest per document and position."""
-    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf))
-    tokens = encoded.select("doc_id", F.posexplode("ids").alias("pos", "token"))
+    encoded = codec.encode_corpus(_texts(spark, sf, "doc_id", "text"), _tokenizer(spark, sf)).select("doc_id", "ids")
+    tokens = write_table(encoded, "encoded").select("doc_id", F.posexplode("ids").alias("pos", "token"))
     table = _table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("vec_id"), "embedding")
     found = vectors.embedding_lookup(tokens, table, "token", "vec_id")
     return found.groupBy("doc_id", "token").agg(
@@ -284,6 +296,20 @@ def soft_neighbour_vote(spark: SparkSession, sf: str) -> DataFrame:
     return votes.select("label", "idx", _rounded("weight"))
 
 
+def masked_vote(spark: SparkSession, sf: str) -> DataFrame:
+    """Class weights of every centroid by the embeddings that a table of pairs lets it see: those that lie on
+    its side of the first component."""
+    keys, centroids = _embeddings(spark, sf), _centroids(spark, sf)
+    classes = F.sequence(F.lit(0), F.lit(keys.agg(F.max("label")).first()[0]))
+    one_hot = F.transform(classes, lambda c: F.when(c == F.col("label"), 1.0).otherwise(0.0))
+    signs = centroids.select("label", (F.get("centroid", 0) > 0).alias("side"))
+    mask = signs.join(keys.select("vec_id", (F.get("embedding", 0) > 0).alias("side")), "side").select("label", "vec_id")
+    votes = tiled_vote.tiled_neighbour_vote(
+        centroids, keys.withColumn("vote", one_hot), "label", "centroid", "vec_id", "embedding", "vote", mask
+    )
+    return votes.select("label", F.posexplode("weights").alias("idx", "weight")).select("label", "idx", _rounded("weight"))
+
+
 def table_diff(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled quality against a guess from the length of the text."""
     guess = _documents(spark, sf, "doc_id", "n_chars").select(
@@ -293,8 +319,8 @@ def table_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff.table_diff(guess, labels, "doc_id", "quality")
 
 
-def table_diff_exact(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents against a copy with a longer count, another source and lower-cased texts."""
+def _docs_and_copy(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, and a copy with a longer count, another source and lower-cased texts."""
     docs = _documents(spark, sf, "doc_id", "text", "source", "n_chars").withColumn("text", F.encode("text", "UTF-8"))
     changed = docs.filter("doc_id % 7 <> 0").select(
         "doc_id",
@@ -302,11 +328,27 @@ def table_diff_exact(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("doc_id") % 5 == 0, "src0").otherwise(F.col("source")).alias("source"),
         (F.col("n_chars") + F.when(F.col("doc_id") % 3 == 0, 9007199254740993).otherwise(0)).alias("n_chars"),
     )
-    found = diff.tables_diff(changed, docs, "doc_id", ["n_chars", "source", "text"], exact=True)
+    return docs, changed
+
+
+def _with_digests(found: DataFrame) -> DataFrame:
     digests = [F.when(F.col("column") == "text", F.md5(c)).otherwise(F.col(c)).alias(c) for c in ("actual", "expected")]
     return found.select("column", "key", "idx", "kind", *digests)
 
 
+def table_diff_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against a changed copy."""
+    docs, changed = _docs_and_copy(spark, sf)
+    return _with_digests(diff.tables_diff(changed, docs, "doc_id", ["n_chars", "source", "text"], exact=True))
+
+
+def table_diff_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against a changed copy, by their trees of digests."""
+    docs, changed = _docs_and_copy(spark, sf)
+    trees = [digest_tree.digest_tree(side, "doc_id", ["n_chars", "source", "text"]) for side in (changed, docs)]
+    return _with_digests(digest_tree.trees_diff(changed, docs, *trees))
+
+
 # Aggregations
 
 
@@ -498,6 +540,7 @@ QUERIES = {
     "group_softmax": group_softmax,
     "linear_map": linear_map,
     "lr_schedule": lr_schedule,
+    "masked_vote": masked_vote,
     "merges_load": merges_load,
     "pair_counts": pair_counts,
     "pretoken_counts": pretoken_counts,
@@ -507,12 +550,14 @@ QUERIES = {
     "silu_features": silu_features,
     "soft_neighbour_vote": soft_neighbour_vote,
     "special_split": special_split,
+    "special_split_many": special_split_many,
     "start_uniformity": start_uniformity,
     "stream_encode": stream_encode,
     "stream_encode_pieces": stream_encode_pieces,
     "stream_pretoken_counts": stream_pretoken_counts,
     "table_diff": table_diff,
     "table_diff_exact": table_diff_exact,
+    "table_diff_tree": table_diff_tree,
     "token_stream": token_stream_blocks,
     "token_vectors": token_vectors,
     "top_pairs": top_pairs,

@@ -36,6 +36,18 @@ COMMITTED = _table(
     ("fingerprint", T.StringType(), False),
 )
 
+# Nodes of a digest tree.
+DIGESTS = _table(
+    ("level", T.IntegerType(), True),
+    ("node", T.LongType(), True),
+    ("n_rows", T.LongType(), True),
+    ("total", T.DecimalType(38, 0), True),
+    ("mixed", T.LongType(), True),
+)
+
+# Runs of running sums, oldest first.
+RUNS = _table(("place", T.IntegerType(), False), ("path", T.StringType(), False), ("n_rows", T.LongType(), False))
+
 TRACE = _table(
     ("step", T.IntegerType(), False),
     ("rate", T.DoubleType(), False),

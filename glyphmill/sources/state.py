@@ -27,6 +27,16 @@ def _files(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
 
 
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, location = _files(spark, path)
+    return [str(entry.getPath()) for entry in fs.listStatus(location)] if fs.exists(location) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, location = _files(spark, path)
+    fs.delete(location, True)
+
+
 def committed_steps(spark: SparkSession, run_dir: str) -> list[int]:
     fs, location = _files(spark, run_dir)
     if not fs.exists(location):
@@ -62,8 +72,7 @@ def save_step(spark: SparkSession, run_dir: str, step: int, fingerprint: str = "
     marker = local_table(spark, [(step, sorted(tables), fingerprint)], COMMITTED)
     marker.write.mode("overwrite").parquet(f"{folder}/{_MARKER}")
     for old in committed_steps(spark, run_dir)[:-2]:
-        fs, location = _files(spark, f"{run_dir}/step={old}")
-        fs.delete(location, True)
+        remove(spark, f"{run_dir}/step={old}")
 
 
 def load_step(spark: SparkSession, run_dir: str, step: int, fingerprint: str | None = None) -> dict[str, DataFrame]:

@@ -13,6 +13,7 @@ from glyphmill.operators.codec import encode_corpus
 from glyphmill.operators.counts import pretoken_counts
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.schemas import DOCUMENTS
+from glyphmill.streaming.compaction import RunningSums
 
 # Fixed value: the class name of Spark's disk-backed state store.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -55,40 +56,28 @@ def stream_encode(
     )
 
 
+def _counts(out: str) -> RunningSums:
+    return RunningSums(out, ("pretoken",), "cnt")
+
+
 def stream_pretoken_counts(
     docs: DataFrame, out: str, checkpoint: str, text: str = "text", specials: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Keep pre-token counts current; each batch writes the counts it changed to ``out/batch=N``.
+    """Keep pre-token counts current in ``out``; each batch adds its own counts as a run.
 
-    A batch that runs again after a failure replaces its own folder. State is kept on disk, and rows
-    are counted per task before the shuffle.
+    Rows are counted per task before the shuffle. Runs are merged as they grow, so reading costs less than
+    twice the number of distinct pre-tokens, whatever the number of batches. A batch that runs again after a
+    failure replaces its own run.
     """
-    spark = docs.sparkSession
-
-    def write_batch(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, ROCKSDB)
-    try:
-        return (
-            pretoken_counts(docs, text, specials)
-            .writeStream.outputMode("update")
-            .foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set(key, before)
 
+    def add_batch(batch: DataFrame, batch_id: int) -> None:
+        _counts(out).add(pretoken_counts(batch, text, specials), batch_id)
 
-def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    """``(pretoken, cnt)`` from the batches written so far; counts only grow."""
     return (
-        spark.read.schema("pretoken string, cnt bigint, batch bigint")
-        .parquet(out)
-        .groupBy("pretoken")
-        .agg(F.max("cnt").alias("cnt"))
+        docs.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def latest_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``(pretoken, cnt)`` of all batches committed so far."""
+    return _counts(out).current(spark)
