@@ -501,12 +501,12 @@ def stream_encode_pieces(spark: SparkSession, sf: str) -> DataFrame:
         (2 * F.col("seq") < F.col("n")).alias("early"),
     )
     written = write_table(rows, "pieces").persist()
-    log, data = f"{out}/log", f"{out}/data"
+    log, data, model = f"{out}/log", f"{out}/data", _tokenizer(spark, sf)
     schema = "doc_id bigint, seq bigint, piece string, last boolean"
     for early in (False, True):
         written.filter(F.col("early") == early).drop("early").write.mode("append").parquet(f"{out}/in")
         arriving = spark.readStream.schema(schema).parquet(f"{out}/in")
-        pieces.stream_encode_pieces(arriving, _tokenizer(spark, sf), data, log).awaitTermination()
+        pieces.stream_encode_pieces(arriving, model, data, log).awaitTermination()
     written.unpersist()
     return _shown_ids(pieces.whole_ids(spark, data))
 
