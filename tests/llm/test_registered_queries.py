@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -159,3 +160,34 @@ def test_pipeline_stages_take_effect(spark):
             assert all(r["ids"] == own.encode(r["text"], add_special_tokens=False).ids and r["round_trip"] for r in after)
         before = after
     assert before
+
+
+def test_op11_is_the_library(spark):
+    own = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {doc_id: text or "" for doc_id, text in rows_of(SMALL, "documents", "doc_id, text")}
+    found = {r["doc_id"]: r for r in result(spark, "op11_piece_codec")}
+    assert found.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        ids, row = own.encode(text), found[doc_id]
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == sha(",".join(map(str, ids))) and row["decoded_sha256"] == sha(own.decode(ids))
+
+
+def test_op12_is_numpy(spark):
+    rows = dict(rows_of(SMALL, "embeddings", "vec_id, embedding"))
+    order = sorted(rows)
+    x = np.floor(64.0 * np.array([rows[i] for i in order], np.float32).astype(np.float64)).astype(np.int64) + 1_000_000
+    fit = np.unique(x, axis=0)
+    centred = fit - fit.mean(axis=0)
+    values, axes = np.linalg.eigh(centred.T @ centred / len(fit))
+    best = np.argsort(-values)[:16]
+    wanted = (x - fit.mean(axis=0)) @ axes[:, best] / np.sqrt(values[best])
+    found = result(spark, "op12_whitening")
+    assert len(found) == len(order) * 16
+    place, got = {i: p for p, i in enumerate(order)}, np.zeros_like(wanted)
+    for r in found:
+        got[place[r["vec_id"]], r["component"] - 1] = r["whitened"]
+        assert r["n"] == len(fit) and r["identity_error"] < 1e-9
+        assert abs(r["explained"] - values[best[r["component"] - 1]] / values.sum()) < 1e-10
+        assert r["deviation"] == sum((len(fit) * int(a) - int(s)) ** 2 for a, s in zip(x[place[r["vec_id"]]], fit.sum(axis=0)))
+    assert np.allclose(got * np.sign((got * wanted).sum(axis=0)), wanted, atol=1e-7)
