@@ -1,4 +1,10 @@
-"""A corpus pipeline: toxicity, near-duplicates, secrets, mixing and tokens, one stage after another."""
+"""A corpus pipeline: toxicity, near-duplicates, secrets, mixing and tokens, one stage after another.
+
+Rows with a NULL or empty text pass all stages as texts without words: they are not toxic, all of them are one
+group of near-duplicates, hold no secret, take no words of the mix and have no tokens. A NULL id, language or
+source is a value like any other. Repeated rows are judged alike. Further columns stay, whatever their names,
+and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
