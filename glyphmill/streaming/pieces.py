@@ -20,7 +20,9 @@ from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.streaming.live import ROCKSDB
 
 # Fixed value: the characters with the Unicode property White_Space.
-WHITE_SPACE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
+WHITE_SPACE = frozenset(
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 OPEN = "seq bigint, part bigint, tail string, closed boolean"
 
