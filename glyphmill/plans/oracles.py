@@ -388,3 +388,5 @@ ORACLES = {
     "vocab_specials": f"{_TRAINED} {_SHOWN_VOCAB} UNION ALL SELECT CAST(257 + {r.N_MERGES} AS INTEGER), hex('<|pad|>')",
 }
 ORACLES["table_diff_tree"] = ORACLES["table_diff_exact"]
+ORACLES["corpus_ranges"] = ORACLES["corpus_split"]
+ORACLES["flat_token_windows"] = ORACLES["context_windows"]

@@ -14,7 +14,7 @@ from glyphmill.operators import bpe, codec, counts, diff, digest_tree, fit, metr
 from glyphmill.operators.tokenizer import Tokenizer
 from glyphmill.schemas import DOCUMENTS
 from glyphmill.session import new_path, write_table
-from glyphmill.sources import corpus, tokenizer_files
+from glyphmill.sources import corpus, delimited, flat_tokens, tokenizer_files
 from glyphmill.streaming import live, pieces
 
 # Parameters shared with the oracle SQL.
@@ -25,6 +25,8 @@ BLOCK_SIZE = 1024
 CONTEXT = 32
 TOKENS_PER_SAMPLE = 64
 SEED = 7
+# Small enough that files of the smallest tables are read in several ranges.
+RANGE_BYTES = 1 << 17
 FIT = fit.Settings(steps=6, max_rate=0.05, min_rate=0.005, warmup=2, cycle=5, max_norm=0.5)
 
 
@@ -79,6 +81,15 @@ def corpus_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def corpus_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "blocked-corpus")
+    delimited.write_blocked(_documents(spark, sf, "text"), path)
+    docs = delimited.read_ranges(spark, path, split=RANGE_BYTES)
+    return docs.groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(
+        F.count(F.lit(1)).alias("n_docs")
+    )
+
+
 def _written(spark: SparkSession, sf: str) -> str:
     folder = new_path(spark, "tokenizer")
     tokenizer_files.write_tokenizer(*_trained(spark, sf), folder)
@@ -271,6 +282,18 @@ def linear_map(spark: SparkSession, sf: str) -> DataFrame:
 def context_windows(spark: SparkSession, sf: str) -> DataFrame:
     stream = _stream(spark, sf, CONTEXT)
     windows = token_stream.context_windows(stream, CONTEXT, stream.n_tokens // TOKENS_PER_SAMPLE, SEED)
+    return _shown_windows(windows)
+
+
+def flat_token_windows(spark: SparkSession, sf: str) -> DataFrame:
+    stream, path = _stream(spark, sf, 0), new_path(spark, "flat-tokens")
+    flat_tokens.write_flat_tokens(stream, path)
+    n = flat_tokens.count_flat_tokens(path)
+    starts = token_stream.window_starts(spark, n, CONTEXT, n // TOKENS_PER_SAMPLE, SEED)
+    return _shown_windows(flat_tokens.flat_windows(starts, path, CONTEXT))
+
+
+def _shown_windows(windows: DataFrame) -> DataFrame:
     return windows.select(
         "sample_id",
         "start",
@@ -529,6 +552,7 @@ QUERIES = {
     "clip_all_parameters": clip_all_parameters,
     "clip_global_norm": clip_global_norm,
     "context_windows": context_windows,
+    "corpus_ranges": corpus_ranges,
     "corpus_split": corpus_split,
     "cross_entropy": cross_entropy,
     "decode_roundtrip": decode_roundtrip,
@@ -537,6 +561,7 @@ QUERIES = {
     "encode_from_files": encode_from_files,
     "fit_parameter_table": fit_parameter_table,
     "fit_softmax_regression": fit_softmax_regression,
+    "flat_token_windows": flat_token_windows,
     "group_softmax": group_softmax,
     "linear_map": linear_map,
     "lr_schedule": lr_schedule,
