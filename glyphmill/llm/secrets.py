@@ -4,7 +4,9 @@ All of it is SQL expressions. A token gets the encoding its characters fit. Agai
 that encoding, which repeat some characters more than others, its repeats are compared with what
 chi-squared uniformity leads one to expect; runs and serial correlation must look random as well. The
 longer the token, the smaller its p-value can be, and the rate of false discoveries is held within
-each class of lengths over all tokens of the table.
+each class of an encoding and a range of lengths over all tokens of the table.
+
+The work on a text grows with its length and the number of its matches, however many they are.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ HEX_LENGTH = 24
 KINDS = ("assign", "access", "hex", "random")
 SPAN = "array<struct<start:int,end:int,value:string>>"
 PLACEHOLDER = "[secret]"
+# Values of a block of running sums, and code points of a piece of a text.
+RUN = 256
+PIECE = 1024
 
 # What may be a key, and the encodings in the order they are tried: name, what fits, alphabet, and the
 # chance that two characters of an ordinary string of that encoding are equal.
@@ -64,28 +69,30 @@ def _mean(values: Column) -> Column:
     return total / F.greatest(F.size(values), F.lit(1))
 
 
-def token_p_value(token: Column) -> Column:
-    """How likely an ordinary string of the encoding that the token fits repeats characters as little.
+def token_tests(token: Column) -> Column:
+    """``(p, encoding)``: how likely an ordinary string of the encoding that the token fits repeats
+    characters as little, and the number of that encoding.
 
-    One if no encoding fits, or if chi-squared, runs or serial correlation are not those of a random
-    string.
+    ``p`` is one if no encoding fits (number -1), or if chi-squared, runs or serial correlation are not
+    those of a random string.
     """
-    chosen = F.struct(F.lit(None).cast("string").alias("alphabet"), F.lit(None).cast("double").alias("ordinary"))
-    for _, fits, alphabet, ordinary in reversed(ENCODINGS):
-        own = F.struct(F.lit(alphabet).alias("alphabet"), F.lit(ordinary).alias("ordinary"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("alphabet", "string"), ("ordinary", "double"), ("encoding", "int"))]
+    chosen = F.struct(*nothing)
+    for number, (_, fits, alphabet, ordinary) in reversed(list(enumerate(ENCODINGS))):
+        own = F.struct(F.lit(alphabet).alias("alphabet"), F.lit(ordinary).alias("ordinary"), F.lit(number).alias("encoding"))
         chosen = F.when(token.rlike(fits), own).otherwise(chosen)
     plain = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
 
     def place(encoding: Column) -> Column:
         index = F.transform(chars, lambda c: F.greatest(F.instr(encoding["alphabet"], c) - 1, F.lit(0)).cast("double"))
-        return F.struct(index.alias("index"), F.length(encoding["alphabet"]).cast("double").alias("k"), encoding["ordinary"].alias("ordinary"))
+        return F.struct(index.alias("index"), F.length(encoding["alphabet"]).cast("double").alias("k"), *_kept(encoding, "ordinary", "encoding"))
 
     def centre(placed: Column) -> Column:
-        return F.struct(*[placed[c].alias(c) for c in ("index", "k", "ordinary")], _mean(placed["index"]).alias("mean"))
+        return F.struct(*_kept(placed, "index", "k", "ordinary", "encoding"), _mean(placed["index"]).alias("mean"))
 
     def tests(placed: Column) -> Column:
-        index, k, ordinary, mean = (placed[c] for c in ("index", "k", "ordinary", "mean"))
+        index, k, mean = (placed[c] for c in ("index", "k", "mean"))
         n = F.size(index).cast("double")
         counts = F.transform(
             F.sequence(F.lit(0), k.cast("int") - 1), lambda j: F.size(F.filter(index, lambda x: x == j)).cast("double")
@@ -93,8 +100,7 @@ def token_p_value(token: Column) -> Column:
         half = F.transform(index, lambda x: F.when(x >= k / 2, 1.0).otherwise(0.0))
         return F.struct(
             n.alias("n"),
-            k.alias("k"),
-            ordinary.alias("ordinary"),
+            *_kept(placed, "k", "ordinary", "encoding"),
             F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c).alias("squares"),
             F.aggregate(half, F.lit(0.0), lambda a, x: a + x).alias("high"),
             F.aggregate(_neighbours(half, lambda a, b: F.abs(a - b)), F.lit(1.0), lambda a, x: a + x).alias("runs"),
@@ -116,13 +122,19 @@ def token_p_value(token: Column) -> Column:
         lag = F.abs(F.try_divide(t["serial"], t["power"]) + F.try_divide(F.lit(1.0), n)) * F.sqrt(n)
         p_serial = F.when(t["power"] > 0, 2 * _tail(lag)).otherwise(0.0)
         random = F.least(p_chi, p_runs, p_serial) >= NOT_RANDOM / 3
-        return F.coalesce(F.when(random, p_ordinary), F.lit(1.0))
+        p = F.coalesce(F.when(random, p_ordinary), F.lit(1.0))
+        return F.struct(p.alias("p"), t["encoding"].alias("encoding"), ordinary.alias("ordinary"))
 
     # Arrays of one element, so that what later steps look at more than once is made once.
     steps = F.array(chosen)
     for step in (place, centre, tests, decide):
         steps = F.transform(F.filter(steps, lambda e: e["ordinary"].isNotNull()), step)
-    return F.coalesce(F.get(steps, 0), F.lit(1.0))
+    none = F.struct(F.lit(1.0).alias("p"), F.lit(-1).alias("encoding"))
+    return F.coalesce(F.get(F.transform(steps, lambda t: F.struct(*_kept(t, "p", "encoding"))), 0), none)
+
+
+def _kept(row: Column, *names: str) -> list[Column]:
+    return [row[c].alias(c) for c in names]
 
 
 def _neighbours(values: Column, combine) -> Column:
@@ -130,8 +142,9 @@ def _neighbours(values: Column, combine) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), few), F.slice(values, F.lit(2), few), combine)
 
 
-def _length_class(token: Column) -> Column:
-    return F.floor(F.log2(F.length(token))).cast("int")
+def _token_class(token: Column, encoding: Column) -> Column:
+    """Number of the class of an encoding and of lengths up to twice the least one."""
+    return encoding * 64 + F.floor(F.log2(F.length(token))).cast("int")
 
 
 def _step(p: Column) -> Column:
@@ -140,19 +153,20 @@ def _step(p: Column) -> Column:
 
 
 def discovery_steps(docs: DataFrame, text: str = "text") -> dict[int, int]:
-    """For each class of lengths the least step that counts as a discovery.
+    """For each class of tokens the least step that counts as a discovery.
 
     Benjamini and Hochberg's rule over all tokens of the table: in a class of m tokens a step holds when
     the share of tokens at or beyond it is at least its p-value over the permitted rate. Tokens are
     counted by class and step, which is a table of a few hundred rows however many tokens there are.
     """
     found = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(TOKEN), 0)).alias("token"))
-    counted = found.groupBy(
-        _length_class(F.col("token")).alias("length_class"), _step(token_p_value(F.col("token"))).alias("step")
+    tested = _once(found, "tests", token_tests(F.col("token")))
+    counted = tested.groupBy(
+        _token_class(F.col("token"), F.col("tests.encoding")).alias("class"), _step(F.col("tests.p")).alias("step")
     ).count()
     rows, least = counted.collect(), {}
-    for kind in {row["length_class"] for row in rows}:
-        own = {row["step"]: row["count"] for row in rows if row["length_class"] == kind}
+    for kind in {row["class"] for row in rows}:
+        own = {row["step"]: row["count"] for row in rows if row["class"] == kind}
         total, beyond = sum(own.values()), 0
         for step in sorted(own, reverse=True):
             beyond += own[step]
@@ -161,24 +175,94 @@ def discovery_steps(docs: DataFrame, text: str = "text") -> dict[int, int]:
     return least
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` made once, however often it is looked at."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _running(values: Column, start: Column, combine) -> Column:
+    """What ``combine`` makes of ``start`` and all values before each value, for an array of integers.
+
+    A fold that appends to an array copies it at every step, so one fold runs over what blocks of values
+    come to, and one over each block.
+    """
+
+    def fold(values: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("before"))
+
+        def add(found: Column, x: Column) -> Column:
+            before = F.concat(found["before"], F.array(found["at"]))
+            return F.struct(combine(found["at"], x).alias("at"), before.alias("before"))
+
+        return F.aggregate(values, first, add, lambda found: found["before"])
+
+    def of_blocks(blocks: Column) -> Column:
+        begun = fold(F.transform(blocks, lambda b: F.aggregate(b, start, combine)), start)
+        return F.flatten(F.zip_with(blocks, begun, fold))
+
+    last = lambda v: F.call_function("div", F.size(v) - 1, F.lit(RUN)).cast("int")
+    cut = lambda v: F.transform(F.sequence(F.lit(0), last(v)), lambda b: F.slice(v, b * RUN + 1, F.lit(RUN)))
+    blocks = _bind(values, lambda v: F.when(F.size(v) > 0, cut(v)).otherwise(F.array().cast("array<array<int>>")))
+    return _bind(blocks, of_blocks)
+
+
+def _running_sum(values: Column) -> Column:
+    return _running(values, F.lit(0), lambda a, b: a + b)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Leftmost matches that do not overlap, as spans in code points with their values.
 
     The pieces between matches and the matches themselves follow each other, so their lengths give
     the positions.
     """
-    pieces = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), 0)
-    zipped = F.zip_with(F.slice(pieces, F.lit(1), F.size(values)), values, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    pieces = F.zip_with(
+        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values)),
+        values,
+        lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("length"), v.alias("value")),
+    )
 
-    def add(found, piece):
-        first = found["at"] + piece["gap"]
-        last = first + F.length(piece["value"])
-        span = F.struct(first.alias("start"), last.alias("end"), piece["value"].alias("value"))
-        return F.struct(last.alias("at"), F.concat(found["spans"], F.array(span)).alias("spans"))
+    def span(piece: Column, at: Column) -> Column:
+        start = at + piece["gap"]
+        return F.struct(start.alias("start"), (start + piece["length"]).alias("end"), piece["value"].alias("value"))
 
-    return F.aggregate(zipped, start, add, lambda found: found["spans"])
+    def spans(pieces: Column) -> Column:
+        return F.zip_with(pieces, _running_sum(F.transform(pieces, lambda p: p["gap"] + p["length"])), span)
+
+    return _bind(pieces, spans)
+
+
+def _apart(tokens: Column, base: Column) -> Column:
+    """Those of ``tokens``, which follow each other, that touch no span of ``base``.
+
+    A token touches as many base spans as begin before its end less those that end by its start. Both
+    numbers are running sums over all starts and ends in order.
+    """
+
+    def event(at: Column, order: int) -> Column:
+        return F.struct(at.alias("at"), F.lit(order).alias("order"))
+
+    events = F.sort_array(
+        F.concat(
+            F.transform(base, lambda b: event(b["end"], 0)),
+            F.transform(tokens, lambda t: event(t["start"], 1)),
+            F.transform(tokens, lambda t: event(t["end"], 2)),
+            F.transform(base, lambda b: event(b["start"], 3)),
+        )
+    )
+
+    def seen(events: Column, counted: int, asked: int) -> Column:
+        sums = _running_sum(F.transform(events, lambda e: (e["order"] == counted).cast("int")))
+        pairs = F.zip_with(events, sums, lambda e, n: F.struct(e["order"].alias("order"), n.alias("n")))
+        return F.transform(F.filter(pairs, lambda p: p["order"] == asked), lambda p: p["n"])
+
+    def touched(events: Column) -> Column:
+        return F.zip_with(seen(events, 3, 2), seen(events, 0, 1), lambda begun, ended: begun > ended)
+
+    marked = F.zip_with(tokens, _bind(events, touched), lambda t, hit: F.struct(t.alias("token"), hit.alias("hit")))
+    free = F.transform(F.filter(marked, lambda m: ~m["hit"]), lambda m: m["token"])
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), free).otherwise(tokens)
 
 
 def _when_any(text: Column, quick: Column, spans: Column) -> Column:
@@ -202,13 +286,16 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def random_spans(text: Column, steps: dict[int, int]) -> Column:
-    """Spans of tokens whose p-value is a discovery for their length."""
+    """Spans of tokens whose p-value is a discovery for their encoding and length."""
     if not steps:
         return F.array().cast(SPAN)
     least = F.create_map(*[F.lit(x) for pair in sorted(steps.items()) for x in pair])
 
     def found(token: Column) -> Column:
-        return F.coalesce(_step(token_p_value(token)) >= F.element_at(least, _length_class(token)), F.lit(False))
+        def enough(tests: Column) -> Column:
+            return _step(tests["p"]) >= F.element_at(least, _token_class(token, tests["encoding"]))
+
+        return F.coalesce(_bind(token_tests(token), enough), F.lit(False))
 
     return _when_any(text, text.rlike(TOKEN), F.filter(_matches(text, TOKEN), lambda s: found(s["value"])))
 
@@ -232,10 +319,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> D
     parts = [*[spans.alias(kind) for kind, spans in known.items()], random_spans(docs[f"`{text}`"], steps).alias("random")]
     scanned = _once(docs, mark, F.struct(*parts))
     base = F.flatten(F.array(*[F.col(f"{mark}.{kind}") for kind in KINDS[:3]]))
-    apart = F.filter(
-        F.col(f"{mark}.random"),
-        lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
-    )
+    apart = _apart(F.col(f"{mark}.random"), base)
 
     def named(number: int, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("number"), s["end"].alias("end")))
@@ -263,18 +347,26 @@ def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     spans = own_name(docs, "secrets")
     found = _once(scan_secrets(docs, text, f"{spans}_all"), spans, F.col(f"{spans}_all"))
     whole = found[f"`{text}`"]
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(done, span):
-        fresh = span["start"] >= done["at"]
-        piece = F.concat(done["out"], F.substring(whole, done["at"] + 1, span["start"] - done["at"]), F.lit(PLACEHOLDER))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"), F.when(fresh, piece).otherwise(done["out"]).alias("out")
+    # Taking a part of a string walks it from its beginning, so parts are taken from pieces of the text.
+    pieces = F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+
+    def part(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.call_function("div", start, F.lit(PIECE)).cast("int")
+        last = F.call_function("div", end - 1, F.lit(PIECE)).cast("int")
+        around = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.when(end > start, F.substring(around, start - first * PIECE + 1, end - start)).otherwise("")
+
+    def replaced(pieces: Column) -> Column:
+        ends = F.transform(F.col(spans), lambda s: s["end"])
+        reached = _running(ends, F.lit(0), lambda a, b: F.greatest(a, b))
+        fresh = F.filter(
+            F.zip_with(F.col(spans), reached, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at"))),
+            lambda f: f["start"] >= f["at"],
         )
+        kept = F.transform(fresh, lambda f: F.concat(part(pieces, f["at"], f["start"]), F.lit(PLACEHOLDER)))
+        return F.concat(F.array_join(kept, ""), part(pieces, F.array_max(ends), F.length(whole)))
 
-    clean = F.aggregate(
-        F.col(spans), start, add, lambda done: F.concat(done["out"], F.substring(whole, done["at"] + 1, F.lit(2**31 - 1)))
-    )
+    clean = _bind(pieces, replaced)
     changed = F.size(spans) > 0
     body = own_name(docs, "clean")
     found = _once(found, body, F.when(changed, clean).otherwise(whole))
