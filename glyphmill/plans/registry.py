@@ -25,8 +25,8 @@ BLOCK_SIZE = 1024
 CONTEXT = 32
 TOKENS_PER_SAMPLE = 64
 SEED = 7
-# Small enough that files of the smallest tables are read in several ranges.
-RANGE_BYTES = 1 << 17
+# Small enough that the files of a small corpus are read in several ranges.
+RANGE_BYTES = 1 << 20
 FIT = fit.Settings(steps=6, max_rate=0.05, min_rate=0.005, warmup=2, cycle=5, max_norm=0.5)
 
 
