@@ -1,5 +1,6 @@
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,17 @@ def test_ids_with_gaps_decode(spark):
     model = Tokenizer({0: b"a", 1_000_000_000: b"b"}, ())
     df = spark.createDataFrame([([0, 1_000_000_000],), (None,), ([],)], "ids array<int>")
     assert [r["decoded"] for r in codec.decode_corpus(df, model).collect()] == ["ab", None, ""]
+
+
+def test_memory_of_encode_and_decode_follows_no_batch(spark, model):
+    """Batches come out in slices of bounded length, NULL and empty rows in their places."""
+    words = 3 * codec.AT_ONCE
+    rows = ["a b " * 50, None, "", "the word " * (words // 2), *["z " * 1000] * 200, "<|end|>", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "i int, text string").coalesce(1)
+    coded = codec.decode_corpus(codec.encode_corpus(docs, model), model)
+    assert [(r["i"], r["decoded"]) for r in coded.orderBy("i").collect()] == list(enumerate(rows))
+    ids = pa.array([[1] * n for n in (3, 0, 5)] + [None] + [[2] * n for n in (9, 1, 1)])
+    found = list(codec.short_slices(ids, 4))
+    assert pa.concat_arrays(found).equals(ids)
+    assert [len(s) for s in found] == [2, 1, 1, 1, 2] and list(codec.short_slices(ids[:0])) == []
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
