@@ -497,17 +497,18 @@ def lr_schedule(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _arriving(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """The documents as a stream; the table is one file, so its rows are spread over the cores."""
+    """The documents as a stream; the table may be one file, so its rows are spread over the cores."""
     schema = StructType([DOCUMENTS[c] for c in columns])
     cores = spark.sparkContext.defaultParallelism
-    return live.document_stream(spark, sf, schema, "documents.parquet", tasks=cores)
+    # A pattern of the one name: a stream takes a single file only when a pattern finds it.
+    return live.document_stream(spark, f"{sf}/documents.parque[t]", schema, files=None, tasks=cores)
 
 
 def stream_encode(spark: SparkSession, sf: str) -> DataFrame:
     out = new_path(spark, "encoded-stream")
     docs = _arriving(spark, sf, "doc_id", "text")
     live.stream_encode(docs, _tokenizer(spark, sf), f"{out}/data", f"{out}/log", ["doc_id"]).awaitTermination()
-    return _shown_ids(spark.read.parquet(f"{out}/data"))
+    return _shown_ids(spark.read.schema("doc_id bigint, ids array<int>").parquet(f"{out}/data"))
 
 
 def stream_encode_pieces(spark: SparkSession, sf: str) -> DataFrame:

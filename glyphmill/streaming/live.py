@@ -23,15 +23,19 @@ def document_stream(
     spark: SparkSession,
     folder: str,
     schema: T.StructType = DOCUMENTS,
-    files: str = "*.parquet",
+    files: str | None = "*.parquet",
     files_per_batch: int | None = None,
     tasks: int | None = None,
 ) -> DataFrame:
     """Stream of whole documents from parquet files; the unit is never a piece of a text.
 
+    ``folder`` may be a pattern that finds folders and files. ``files`` is a pattern the names of the files
+    must match; None takes all, as a read of the folder does.
     ``tasks`` spreads the documents of a batch when they arrive in fewer files than there are cores.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     docs = reader.parquet(folder)

@@ -1,8 +1,10 @@
+import pyarrow.parquet as pq
 import pytest
 
 from glyphmill.operators import codec, counts
 from glyphmill.operators.bpe import train_bpe
 from glyphmill.operators.tokenizer import Tokenizer
+from glyphmill.plans import registry
 from glyphmill.session import new_path
 from glyphmill.streaming import live
 
@@ -48,3 +50,16 @@ def test_stream_counts_equal_batch_over_restarts(spark, folder):
     got = sorted(map(tuple, live.latest_counts(spark, f"{out}/data").collect()))
     want = sorted(map(tuple, counts.pretoken_counts(spark.createDataFrame(rows, SCHEMA)).collect()))
     assert got == want
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_registered_streams_read_a_table_of_one_file_or_many(spark, tmp_path, parts):
+    sf, rows = str(tmp_path), [(i, f"a  story {i}\n\n\nof {'the ' * i}end ", "en", "s", 9) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int")
+    if parts:
+        docs.repartition(parts).write.parquet(f"{sf}/documents.parquet")
+    else:
+        pq.write_table(docs.toArrow(), f"{sf}/documents.parquet")
+    for stream, batch in (("stream_encode", "encode_documents"), ("stream_pretoken_counts", "pretoken_counts")):
+        got, want = (sorted(map(tuple, registry.QUERIES[name](spark, sf).collect())) for name in (stream, batch))
+        assert got == want and got
