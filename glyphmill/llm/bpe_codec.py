@@ -31,6 +31,8 @@ BYTE_DISPLAY = [chr(256 + HIDDEN_BYTES.index(b)) if b in HIDDEN_BYTES else chr(b
 MAX_VOCAB = 1 << 20
 # Distinct words a task remembers; beyond that it starts anew.
 WORDS_KEPT = 200_000
+# Bytes of text looked at together: its words are Python strings of some ten times the size.
+TEXT_BYTES = 1 << 18
 # Words merged together: their arrays stay in a processor's cache.
 WORDS_AT_ONCE = 20_000
 NO_RANK = np.int64(1) << 40
@@ -168,11 +170,10 @@ class WordCache:
         return self.pool[place], sizes
 
 
-def encode_texts(texts: pa.Array, find, split_specials, cache: WordCache) -> pa.Array:
-    """One list of ids per text; a NULL text has no ids."""
+def encode_texts(texts: pa.Array, find, split_specials, cache: WordCache) -> Iterator[pa.Array]:
+    """One list of ids per text, in arrays of about ``TEXT_BYTES`` of text; a NULL text has no ids."""
     _, bounds = text_buffer(texts)
-    parts = []
-    for first, last in chunks_of(bounds):
+    for first, last in chunks_of(bounds, TEXT_BYTES):
         words, n_words = [], []
         for text in texts.slice(first, last - first).to_pylist():
             before = len(words)
@@ -184,8 +185,7 @@ def encode_texts(texts: pa.Array, find, split_specials, cache: WordCache) -> pa.
             n_words.append(len(words) - before)
         ids, sizes = cache.ids_of(pa.array(words, pa.string()).dictionary_encode())
         ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(n_words))]
-        parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -207,7 +207,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
             return [p for p in cut.split(text) if p] if cut else [text]
 
         for texts in batches:
-            yield encode_texts(texts, find, split_specials, cache)
+            yield from encode_texts(texts, find, split_specials, cache)
 
     # Marked so that a second use of the ids does not encode again.
     udf = F.arrow_udf(encode_batches, "array<int>").asNondeterministic()
@@ -235,16 +235,14 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
             flat = flat.to_numpy(zero_copy_only=False)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens)):
                 raise ValueError("an id is outside the vocabulary")
-            texts = []
-            for first, last in chunks_of(bounds, 1 << 18):
+            for first, last in chunks_of(bounds, 1 << 17):
                 part = flat[bounds[first] : bounds[last]]
                 sizes = size[part]
                 ends = np.append(0, np.cumsum(sizes))
                 place = np.repeat(start[part] - ends[:-1], sizes) + np.arange(ends[-1])
                 data = spelled[place].tobytes()
                 cuts = ends[bounds[first : last + 1] - bounds[first]].tolist()
-                texts += [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
-            yield pa.array(texts, pa.string())
+                yield pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])], pa.string())
 
     udf = F.arrow_udf(decode_batches, "string").asNondeterministic()
     return put(docs, {out: udf(docs[f"`{ids}`"])})

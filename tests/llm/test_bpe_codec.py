@@ -1,4 +1,6 @@
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,3 +66,19 @@ def test_merge_rounds_match_the_library(words):
     own.pre_tokenizer = __import__("tokenizers").pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     assert ids.tolist() == [i for w in words for i in own.encode(w).ids]
     assert sizes.sum() == len(ids)
+
+
+def test_texts_of_a_batch_are_encoded_a_few_at_a_time():
+    texts = pa.array(["ab cd " * 20_000, None, *["x y"] * 100_000, "", "é" * 300_000])
+
+    class Words:
+        special = {}
+
+        def ids_of(self, words):
+            assert len(words) <= 180_000
+            n = len(words)
+            return np.arange(n), np.ones(n, np.int64)
+
+    parts = list(bpe_codec.encode_texts(texts, str.split, lambda text: [text], Words()))
+    assert [len(ids) for part in parts for ids in part] == [len((t or "").split()) for t in texts.to_pylist()]
+    assert len(parts) >= 3
