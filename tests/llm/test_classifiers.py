@@ -141,3 +141,18 @@ def test_no_labels_no_documents(spark, make_docs):
     scores = [r["score"] for r in toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, none)).collect()]
     assert scores[0] == scores[1] < 0.5
     assert toxicity.score_toxicity(make_docs([]), toxicity.train_toxicity(make_docs([]), none)).count() == 0
+
+
+def test_every_label_is_learned_from(spark, make_docs):
+    """Beyond 6,000 rows of a class the counts still cover all of them, whichever way labels are joined."""
+    rows = [(i, "grumble foot" if i % 10 == 0 else "plain word", "en", "s") for i in range(11_000)]
+    docs, labels = make_docs(rows), spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(11_000)], "doc_id bigint, toxic int")
+    fold = [zlib.crc32(str(i).encode()) % 5 for i in range(11_000)]
+    models = [toxicity.train_toxicity(docs, labels, broadcast_labels=most) for most in (1 << 20, 0)]
+    # Each text has two words of four expressions each.
+    n = [sum(f not in (0, 4) and (i % 10 == 0) == kind for i, f in enumerate(fold)) for kind in (False, True)]
+    assert n[0] > 5_500 and sum(n) + sum(f == 4 for f in fold) > 6_000
+    for model in models:
+        assert abs(model.prior - (8 * n[1] + 1) / (8 * sum(n) + 2)) < 1e-12
+    np.testing.assert_allclose(models[0].weights, models[1].weights, rtol=1e-9)
+    assert (models[0].kept == models[1].kept).all() and (models[0].pair_kept == models[1].pair_kept).all()
