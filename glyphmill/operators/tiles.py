@@ -3,7 +3,8 @@
 The rows of each side are put together in blocks, and blocks are cut along the inner dimension into pieces.
 A tile of the left side meets the tiles of the right side that have the same piece; the products of all
 pieces of two blocks are added up. Neither side needs to fit a task or the driver, whatever its height and
-width: a task holds two tiles and their product.
+width: a task holds a few tiles and a part of their product. Tiles of narrow rows are blocks of thousands, whose
+product would be far larger than they are; it is handed on row by row and never put together.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glyphmill.session import write_table
+from glyphmill.session import bound_batch_bytes, write_table
 
 # Bytes of a tile and its greatest width; a block has as many rows as these leave.
 TILE_BYTES, TILE_WIDTH = 2 << 20, 1024
+# Bytes of a product that a task holds or hands on at once.
+PRODUCT_BYTES = 2 << 20
 # Pairs of blocks that one group of the join multiplies.
 PAIRS_PER_GROUP = 64
 
@@ -199,6 +202,33 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
     """
     if left.width != right.width and left.n_blocks and right.n_blocks:
         raise ValueError(f"rows of {left.width} numbers cannot meet rows of {right.width}")
+    # A pair of tiles has some MB, so a batch must not hold thousands of them.
+    bound_batch_bytes(left.rows.sparkSession)
+    schema = T.StructType(
+        [
+            T.StructField("key", left.rows.schema["keys"].dataType.elementType),
+            T.StructField("column_block", T.LongType()),
+            T.StructField("y", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    columns = right.rows.filter("piece = 0").select(F.col("block").alias("column_block"), F.col("keys").alias("out_keys"))
+
+    def whole_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of the products of tiles that are whole blocks, a few rows at a time."""
+        for batch in batches:
+            for r in range(batch.num_rows):
+                j, n, m = (batch.column(c)[r].as_py() for c in ("j", "n", "m"))
+                x, w = (np.frombuffer(batch.column(c)[r].as_buffer(), np.float64) for c in ("x", "w"))
+                x, w, keys = x.reshape(n, -1), w.reshape(m, -1).T, batch.column("left_keys").slice(r, 1).flatten()
+                step = max(1, PRODUCT_BYTES // (8 * m))
+                for first in range(0, n, step):
+                    own, part = keys.slice(first, step), x[first : first + step] @ w
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * m, pa.int32()), pa.array(part.ravel()))
+                    yield pa.RecordBatch.from_arrays([own, pa.array(np.full(len(own), j)), lists], names=schema.names)
+
+    if left.n_pieces == 1:
+        pairs = grid_pairs(left, right).select("j", "n", "m", "x", "w", "left_keys")
+        return TiledProduct(pairs.mapInArrow(whole_rows, schema), columns)
     pairs = grid_pairs(left, right).select("i", "j", "piece", "n", "m", "x", "w")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,17 +240,8 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
                 columns = [pa.array([i], pa.int64()), pa.array([j], pa.int64()), pa.array([part.tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "part"])
 
-    parts = pairs.mapInArrow(multiply, "i bigint, j bigint, part binary")
-    if left.n_pieces > 1:
-        parts = add_tiles(parts, "i", "j")
+    parts = add_tiles(pairs.mapInArrow(multiply, "i bigint, j bigint, part binary"), "i", "j")
     keys = left.rows.filter("piece = 0").select(F.col("block").alias("i"), "keys")
-    schema = T.StructType(
-        [
-            T.StructField("key", left.rows.schema["keys"].dataType.elementType),
-            T.StructField("column_block", T.LongType()),
-            T.StructField("y", T.ArrayType(T.DoubleType())),
-        ]
-    )
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +254,6 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
                 yield pa.RecordBatch.from_arrays([own, where, lists], names=schema.names)
 
     values = parts.join(keys, "i").select("j", "part", "keys").mapInArrow(rows_of, schema)
-    columns = right.rows.filter("piece = 0").select(F.col("block").alias("column_block"), F.col("keys").alias("out_keys"))
     return TiledProduct(values, columns)
 
 

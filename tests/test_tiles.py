@@ -60,3 +60,17 @@ def test_groups_are_enough_and_not_more_than_blocks(left, right):
     assert 1 <= rows <= left and 1 <= columns <= right
     assert left * right / (rows * columns) <= 2 * tiles.PAIRS_PER_GROUP
     assert rows * columns >= min(8, left * right) / 2
+
+
+def test_products_of_high_tiles_are_handed_on_in_parts(spark, monkeypatch):
+    """Batches of the rows of a product have a few rows each, where the block has many."""
+    monkeypatch.setattr(tiles, "PRODUCT_BYTES", 8 * 50 * 4)
+    x, w = RNG.normal(size=(60, 5)), RNG.normal(size=(50, 5))
+    left, right, y = product(spark, x, w, 2 << 20, 1024, parts=1)
+    assert (left.n_blocks, right.n_blocks) == (1, 1)
+    plan = y.values._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "binary" not in y.values.schema.simpleString()
+    found = {r["key"]: r["y"] for r in y.values.collect()}
+    [names] = [r["out_keys"] for r in y.columns.collect()]
+    for i in range(60):
+        np.testing.assert_allclose(found[i], [x[i] @ w[int(k[1:])] for k in names], atol=1e-12)
