@@ -133,3 +133,13 @@ def test_array_functions(spark):
     p = np.exp(x) / np.exp(x).sum()
     np.testing.assert_allclose(row["p"], p, atol=1e-12)
     assert np.isfinite(row["big"]).all() and abs(sum(row["big"]) - 1) < 1e-9
+
+
+def test_keys_are_counted_and_numbered_dense_or_not():
+    rng = np.random.default_rng(4)
+    for keys in ([], [5], [3, 0, 3], [-7, 2, -7], [1 << 40, 3, 1 << 40], rng.integers(0, 300, 5000), rng.integers(0, 1 << 50, 500)):
+        keys = np.array(keys, np.int64)
+        found, n = vectors.counted(keys)
+        want, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
+        assert (found == want).all() and (n == count).all()
+        assert (vectors.numbered(keys)[0] == want).all() and (vectors.numbered(keys)[1] == inverse).all()
