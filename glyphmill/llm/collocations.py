@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from glyphmill.llm.columns import chunks_of, text_buffer
 from glyphmill.llm.word_hashes import LOWER, joined_words, word_spans
 from glyphmill.operators.joins import attach_by_key, null_safe_join
-from glyphmill.session import write_table
+from glyphmill.session import bound_batch_bytes, write_table
 
 MOST_WORDS = 4
 OVERLAP = MOST_WORDS - 1
@@ -40,6 +41,8 @@ REPORTED = 2000
 NO_LANGUAGE = "und"
 # Chunk bytes counted together in a task.
 STEP_BYTES = 4 << 20
+# Bytes of packed steps that a reader of their table takes at once.
+ROW_GROUP_BYTES = 16 << 20
 # Bits of the map: so many for a frequent phrase, up to the bound.
 BITS_EACH, MOST_BITS = 64, 1 << 27
 # Bits of one row of Spark's bit map aggregate.
@@ -75,14 +78,15 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
 class Words:
     """Words of many texts, one after another; each is followed by one space in ``data``.
 
-    ``starts`` has the offset of each word and the end of all, ``codes`` numbers equal words alike and
-    ``hashes`` has the hash of each word.
+    ``starts`` has the offset of each word and the end of all, ``distinct`` the different words, each followed by
+    a space, and ``own`` their hashes; ``codes`` says which of these each word is.
     """
 
     data: np.ndarray
     starts: np.ndarray
+    distinct: pa.LargeBinaryArray
+    own: np.ndarray
     codes: np.ndarray
-    hashes: np.ndarray
 
     @classmethod
     def of(cls, data: np.ndarray, starts: np.ndarray) -> Words:
@@ -90,16 +94,11 @@ class Words:
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, buffers).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         own = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        return cls(data, starts, codes, own[codes])
+        return cls(data, starts, coded.dictionary, own, coded.indices.to_numpy(zero_copy_only=False))
 
     def __len__(self) -> int:
         return len(self.starts) - 1
 
-    def phrases(self, first: np.ndarray, words: int) -> pa.Array:
-        """Phrases of so many words from the given ones on, without the space at the end."""
-        return gather(self.data, self.starts[first], self.starts[first + words] - 1)
-
 
 def split_words(data: np.ndarray, bounds: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
     """Lower-cased words of texts, whether each begins a piece, and the number of its text."""
@@ -113,7 +112,7 @@ def split_words(data: np.ndarray, bounds: np.ndarray) -> tuple[Words, np.ndarray
 def cut_chunks(words: Words, new_piece: np.ndarray, chunk_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each chunk the first word, how many words it owns, and the word after its last."""
     n = len(words)
-    h = words.hashes
+    h = words.own[words.codes]
     window = h
     for i in range(1, OVERLAP):
         window = next_hash(window[: max(n - i, 0)], h[i:])
@@ -154,64 +153,103 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", ch
     return parsed.groupBy("lang", "chunk", "own").agg(F.count(F.lit(1)).alias("freq"))
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers from 0 that are alike for equal keys, and how many there are."""
+    coded = pa.array(keys).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+
+
+# A step as one row: words are split and hashed once, and no later pass takes chunk by chunk out of a table.
+PACKED = "langs array<string>, distinct binary, own_hashes binary, codes binary, lang binary, size binary, own binary, freq binary"
+
+
 @dataclass
 class ChunkStep:
-    """Chunks counted together: words, the chunk of each, and of each chunk its language, own words and frequency."""
+    """Chunks counted together: their words one after another as numbers of the distinct ones, which have a text
+    and a hash, and of each chunk the number of its language, how many words it has and owns, and its frequency."""
 
-    words: Words
-    chunk: np.ndarray
-    langs: pa.DictionaryArray
-    own_end: np.ndarray
-    end: np.ndarray
+    langs: list[str]
+    distinct: pa.Array
+    own_hashes: np.ndarray
+    codes: np.ndarray
+    lang: np.ndarray
+    size: np.ndarray
+    own: np.ndarray
     freq: np.ndarray
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> ChunkStep:
         data, bounds = text_buffer(batch.column(1))
         starts = np.append(0, np.flatnonzero(data == 0x20) + 1)
-        chunk = np.searchsorted(bounds, starts[:-1], "right") - 1
-        first = np.searchsorted(starts, bounds)
-        own = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-        freq = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
-        return cls(Words.of(data, starts), chunk, batch.column(0).dictionary_encode(), first[:-1] + own, first[1:], freq)
+        words, langs = Words.of(data, starts), batch.column(0).dictionary_encode()
+        numbers = (langs.indices, pa.array(np.diff(np.searchsorted(starts, bounds))), batch.column(2), batch.column(3))
+        lang, size, own, freq = (n.to_numpy(zero_copy_only=False) for n in numbers)
+        return cls(langs.dictionary.to_pylist(), words.distinct, words.own, words.codes, lang, size, own, freq)
+
+    def packed(self) -> pa.RecordBatch:
+        kinds = (np.uint64, np.int32, np.int32, np.int32, np.int32, np.int64)
+        numbers = (self.own_hashes, self.codes, self.lang, self.size, self.own, self.freq)
+        words = text_buffer(self.distinct)[0].tobytes()
+        binary = [words, *(n.astype(kind).tobytes() for n, kind in zip(numbers, kinds))]
+        columns = [pa.array([self.langs], pa.list_(pa.string())), *(pa.array([b], pa.binary()) for b in binary)]
+        return pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in PACKED.split(", ")])
 
-    def lang_codes(self) -> np.ndarray:
-        return self.langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.chunk]
-
-    def first_hashes(self) -> np.ndarray:
-        """Hashes of phrases of one word, with their language."""
-        own = [xxhash.xxh3_64_intdigest(lang) for lang in self.langs.dictionary.to_pylist()]
-        return next_hash(np.array(own, np.uint64)[self.lang_codes()], self.words.hashes)
-
-    def places(self, size: int) -> np.ndarray:
-        """Words at which a phrase of ``size`` words begins that this chunk owns."""
-        place = np.arange(len(self.words))
-        return np.flatnonzero((place < self.own_end[self.chunk]) & (place + size <= self.end[self.chunk]))
+    @classmethod
+    def unpacked(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[ChunkStep]:
+        for batch in batches:
+            for i in range(len(batch)):
+                langs, words, *binary = (column[i] for column in batch.columns)
+                kinds = (np.uint64, np.int32, np.int32, np.int32, np.int32, np.int64)
+                data = np.frombuffer(words.as_buffer(), np.uint8)
+                starts = np.append(0, np.flatnonzero(data == 0x20) + 1)
+                buffers = [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)]
+                distinct = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, buffers)
+                yield cls(langs.as_py(), distinct, *(np.frombuffer(b.as_buffer(), kind) for b, kind in zip(binary, kinds)))
+
+    def places(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words at which a phrase of ``size`` words begins that a chunk owns, and the chunk of each."""
+        number = np.maximum(np.minimum(self.own, self.size - size + 1), 0)
+        chunk = np.repeat(np.arange(len(number)), number)
+        first = np.cumsum(self.size, dtype=np.int64) - self.size
+        return (first - (np.cumsum(number, dtype=np.int64) - number))[chunk] + np.arange(len(chunk)), chunk
 
     def phrase_hashes(self, size: int) -> np.ndarray:
-        """Hash of the ``size`` words from each word on; without meaning where the chunk ends before."""
-        found = self.first_hashes()
+        """Hash of the ``size`` words from each word on, with their language; without meaning where the chunk ends before."""
+        langs = np.array([xxhash.xxh3_64_intdigest(lang) for lang in self.langs], np.uint64)
+        hashes = self.own_hashes[self.codes]
+        found = next_hash(np.repeat(langs[self.lang], self.size), hashes)
         for i in range(1, size):
             reaches = max(len(found) - i, 0)
-            found[:reaches] = next_hash(found[:reaches], self.words.hashes[i:])
+            found[:reaches] = next_hash(found[:reaches], hashes[i:])
         return found
 
+    def phrases(self, place: np.ndarray, size: int) -> pa.Array:
+        """Phrases of ``size`` words from the given places on."""
+        spaced = text_buffer(self.distinct)
+        words = gather(spaced[0], spaced[1][:-1], spaced[1][1:] - 1).cast(pa.string())
+        parts = [words.take(pa.array(self.codes[place + i])) for i in range(size)]
+        return parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
+
     def counts(self, size: int, bits: np.ndarray | None) -> pa.RecordBatch:
         """Weighted counts of phrases of ``size`` words whose parts may be frequent, one row for each."""
-        place = self.places(size)
+        place, chunk = self.places(size)
         if bits is not None:
             part = in_bit_map(self.phrase_hashes(size - 1), bits)
-            place = place[part[place] & part[place + 1]]
-        langs, words = self.lang_codes(), self.words.codes
-        code = langs[place]
+            may = part[place] & part[place + 1]
+            place, chunk = place[may], chunk[may]
+        key, n_keys = self.lang[chunk].astype(np.int64), len(self.langs)
         for i in range(size):
-            following = words[place + i]
-            key = code * (int(words.max(initial=0)) + 1) + following
-            _, at, code = np.unique(key, return_index=True, return_inverse=True)
-        n = np.bincount(code, self.freq[self.chunk[place]], len(at)).astype(np.int64)
+            if n_keys * len(self.distinct) >= 2**63:
+                key, n_keys = numbered(key)
+            key = key * len(self.distinct) + self.codes[place + i]
+            n_keys *= len(self.distinct)
+        code, n_keys = numbered(key)
+        at = np.empty(n_keys, np.int64)
+        at[code] = np.arange(len(code))
+        n = np.bincount(code, self.freq[chunk], n_keys).astype(np.int64)
         columns = [
-            self.langs.dictionary.take(pa.array(langs[place[at]])),
-            self.words.phrases(place[at], size).cast(pa.string()),
+            pa.array(self.langs, pa.string()).take(pa.array(self.lang[chunk[at]])),
+            self.phrases(place[at], size),
             pa.array(n, pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
@@ -245,7 +283,7 @@ def bit_map(phrases: DataFrame, size: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches):
-            at = step.phrase_hashes(size)[np.searchsorted(step.chunk, np.arange(len(step.freq)))] % np.uint64(width)
+            at = step.phrase_hashes(size)[np.cumsum(step.size) - step.size] % np.uint64(width)
             columns = [pa.array(at // ROW_BITS, pa.int64()), pa.array(at % ROW_BITS, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "bit"])
 
@@ -257,21 +295,44 @@ def bit_map(phrases: DataFrame, size: int) -> np.ndarray:
     return bits
 
 
+def packed_steps(dictionary: DataFrame) -> DataFrame:
+    """The chunks of a dictionary in packed steps, written. A step of a few MB is a row, so few rows are read together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches):
+            yield step.packed()
+
+    packed = dictionary.select("lang", "chunk", "own", "freq").mapInArrow(run, PACKED)
+    return write_table(packed, "chunks", **{"parquet.block.size": ROW_GROUP_BYTES})
+
+
+def word_totals(packed: DataFrame) -> DataFrame:
+    """``(lang, n)``: how many words the texts of each language have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in ChunkStep.unpacked(batches):
+            n = np.zeros(len(step.langs), np.int64)
+            np.add.at(n, step.lang, step.own * step.freq)
+            yield pa.RecordBatch.from_arrays([pa.array(step.langs, pa.string()), pa.array(n)], names=["lang", "n"])
+
+    return packed.mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n"))
+
+
 def frequent_phrases(
-    dictionary: DataFrame, size: int, shorter: DataFrame | None = None, least_count: int = LEAST_COUNT
+    packed: DataFrame, size: int, shorter: DataFrame | None = None, least_count: int = LEAST_COUNT
 ) -> DataFrame:
     """``(lang, phrase, words, a)``: phrases of ``size`` words that occur ``least_count`` times, written.
 
-    ``shorter`` holds the frequent phrases of one word less.
+    ``packed`` has the chunks in steps, ``shorter`` the frequent phrases of one word less.
     """
     bits = None if shorter is None else bit_map(shorter, size - 1)
-    shared = None if bits is None else dictionary.sparkSession.sparkContext.broadcast(bits)
+    shared = None if bits is None else packed.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches):
+        for step in ChunkStep.unpacked(batches):
             yield step.counts(size, None if shared is None else shared.value)
 
-    found = dictionary.select("lang", "chunk", "own", "freq").mapInArrow(run, "lang string, phrase string, n bigint")
+    found = packed.mapInArrow(run, "lang string, phrase string, n bigint")
     sums = found.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least_count)
     return write_table(sums.select("lang", "phrase", F.lit(size).alias("words"), "a"), f"phrases-{size}")
 
@@ -337,16 +398,16 @@ def collocations(
     language. Repeated documents count as often as they are there. An empty table, and a language without
     frequent phrases, give no row.
     """
-    dictionary = write_table(chunk_dictionary(docs, text, lang), "chunks")
+    bound_batch_bytes(docs.sparkSession)
+    packed = packed_steps(chunk_dictionary(docs, text, lang))
     levels: list[DataFrame] = []
     for size in range(1, MOST_WORDS + 1):
-        levels.append(frequent_phrases(dictionary, size, levels[-1] if levels else None, least_count))
+        levels.append(frequent_phrases(packed, size, levels[-1] if levels else None, least_count))
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.unionByName(level)
     candidates = write_table(lowest_cuts(phrases), "candidates")
     best = best_of_each(without_parts(candidates), most)
-    totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
-    return null_safe_join(best, totals, ["lang"]).select(
+    return null_safe_join(best, word_totals(packed), ["lang"]).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

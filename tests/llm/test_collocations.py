@@ -92,3 +92,19 @@ def test_scores_beyond_64_bits(spark):
     rows = [("en", "a", 1, big), ("en", "b", 1, big + 7), ("en", "a b", 2, big - 3)]
     (row,) = c.lowest_cuts(spark.createDataFrame(rows, "lang string, phrase string, words int, a bigint")).collect()
     assert (row["l"], row["r"], row["score"]) == (big, big + 7, 2_000_000 * (big - 3) // (2 * big + 7))
+
+
+def test_passes_read_a_row_for_a_step_and_lose_no_chunk(make_docs):
+    texts = some_texts(3, 200)
+    dictionary = c.chunk_dictionary(make_docs([(i, t, [None, "en", "d\ne"][i % 3], "s") for i, t in enumerate(texts)]))
+    packed = c.packed_steps(dictionary)
+    steps = list(c.ChunkStep.unpacked(packed.toArrow().to_batches()))
+    assert len(steps) == packed.count() <= dictionary.rdd.getNumPartitions()
+    got = []
+    for step in steps:
+        words = [w.as_py().decode()[:-1] for w in step.distinct]
+        at = 0
+        for lang, size, own, freq in zip(step.lang, step.size, step.own, step.freq):
+            got.append((step.langs[lang], "".join(words[code] + " " for code in step.codes[at : at + size]), own, freq))
+            at += size
+    assert sorted(got) == sorted(tuple(r) for r in dictionary.select("lang", "chunk", "own", "freq").collect())
