@@ -40,9 +40,9 @@ SCORE_UNITS = 2_000_000
 REPORTED = 2000
 NO_LANGUAGE = "und"
 # Chunk bytes counted together in a task.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 # Bytes of packed steps that a reader of their table takes at once.
-ROW_GROUP_BYTES = 16 << 20
+ROW_GROUP_BYTES = 8 << 20
 # Bits of the map: so many for a frequent phrase, up to the bound.
 BITS_EACH, MOST_BITS = 64, 1 << 27
 # Bits of one row of Spark's bit map aggregate.
