@@ -25,6 +25,8 @@ from glyphmill.session import bound_batch_bytes, write_table
 TILE_BYTES, TILE_WIDTH = 2 << 20, 1024
 # Bytes of a product that a task holds or hands on at once.
 PRODUCT_BYTES = 2 << 20
+# Left blocks whose sums a task holds.
+SUMS_HELD = 64
 # Pairs of blocks that one group of the join multiplies.
 PAIRS_PER_GROUP = 64
 
@@ -76,10 +78,13 @@ class Tiles:
 @dataclass(frozen=True)
 class TiledProduct:
     """``values`` are ``(key, column_block, y)``, one row per row of the left side and block of the right;
-    ``columns`` are ``(column_block, out_keys)``, whose keys stand in the order of the numbers of ``y``."""
+    ``columns`` are ``(column_block, out_keys)``, whose keys stand in the order of the numbers of ``y``.
+    ``sums`` are ``(key, n, total, largest)`` of the numbers of each row of the left side, in some parts to be put
+    together; products are summed up in the task that makes them and do not leave it."""
 
     values: DataFrame
     columns: DataFrame
+    sums: DataFrame
 
     def long(self, key: str, out_key: str, value: str = "value") -> DataFrame:
         """``(key, out_key, value)``, one row per number."""
@@ -211,6 +216,14 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
             T.StructField("y", T.ArrayType(T.DoubleType())),
         ]
     )
+    kinds = T.StructType(
+        [
+            schema["key"],
+            T.StructField("n", T.LongType()),
+            T.StructField("total", T.DoubleType()),
+            T.StructField("largest", T.DoubleType()),
+        ]
+    )
     columns = right.rows.filter("piece = 0").select(F.col("block").alias("column_block"), F.col("keys").alias("out_keys"))
 
     def whole_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +239,41 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * m, pa.int32()), pa.array(part.ravel()))
                     yield pa.RecordBatch.from_arrays([own, pa.array(np.full(len(own), j)), lists], names=schema.names)
 
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of the products of tiles that are whole blocks, a few rows at a time, added up over right blocks."""
+        held: dict[int, tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for keys, count, total, largest in held.values():
+                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, (count, total, largest))], names=kinds.names)
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                i, n, m = (batch.column(c)[r].as_py() for c in ("i", "n", "m"))
+                x, w = (np.frombuffer(batch.column(c)[r].as_buffer(), np.float64) for c in ("x", "w"))
+                x, w = x.reshape(n, -1), w.reshape(m, -1).T
+                if i not in held:
+                    if len(held) == SUMS_HELD:
+                        yield from rows()
+                        held.clear()
+                    # Copied, so that the batch is not kept with them.
+                    keys = pa.concat_arrays([batch.column("left_keys").slice(r, 1).flatten()])
+                    keys = keys.take(pa.array(np.arange(n)))
+                    held[i] = keys, np.zeros(n, np.int64), np.zeros(n), np.full(n, -np.inf)
+                _, count, total, largest = held[i]
+                count += m
+                step = max(1, PRODUCT_BYTES // (8 * m))
+                for first in range(0, n, step):
+                    own, part = slice(first, first + step), x[first : first + step] @ w
+                    total[own] += part.sum(axis=1)
+                    np.maximum(largest[own], part.max(axis=1), out=largest[own])
+        yield from rows()
+
     if left.n_pieces == 1:
-        pairs = grid_pairs(left, right).select("j", "n", "m", "x", "w", "left_keys")
-        return TiledProduct(pairs.mapInArrow(whole_rows, schema), columns)
+        pairs = grid_pairs(left, right)
+        values = pairs.select("j", "n", "m", "x", "w", "left_keys").mapInArrow(whole_rows, schema)
+        sums = pairs.select("i", "n", "m", "x", "w", "left_keys").mapInArrow(summed, kinds)
+        return TiledProduct(values, columns, sums)
     pairs = grid_pairs(left, right).select("i", "j", "piece", "n", "m", "x", "w")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +298,17 @@ def tiled_product(left: Tiles, right: Tiles) -> TiledProduct:
                 where = pa.array(np.full(len(own), batch.column("j")[r].as_py()), pa.int64())
                 yield pa.RecordBatch.from_arrays([own, where, lists], names=schema.names)
 
-    values = parts.join(keys, "i").select("j", "part", "keys").mapInArrow(rows_of, schema)
-    return TiledProduct(values, columns)
+    def summed_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                own = batch.column("keys").slice(r, 1).flatten()
+                part = np.frombuffer(batch.column("part")[r].as_buffer(), np.float64).reshape(len(own), -1)
+                found = np.full(len(own), part.shape[1]), part.sum(axis=1), part.max(axis=1)
+                yield pa.RecordBatch.from_arrays([own, *map(pa.array, found)], names=kinds.names)
+
+    whole = parts.join(keys, "i")
+    values = whole.select("j", "part", "keys").mapInArrow(rows_of, schema)
+    return TiledProduct(values, columns, whole.select("part", "keys").mapInArrow(summed_parts, kinds))
 
 
 def matrix_product(vectors: DataFrame, weights: DataFrame, key: str, vector: str, out_key: str, weight: str) -> TiledProduct:

@@ -266,14 +266,8 @@ def project_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def linear_map(spark: SparkSession, sf: str) -> DataFrame:
     """All embeddings through the map whose rows are all embeddings: the outputs of each, summed up."""
     rows = _table(spark, sf, "embeddings")
-    y = tiles.matrix_product(rows, rows, "vec_id", "embedding", "vec_id", "embedding").values
-    whole = y.select(
-        F.col("key").alias("vec_id"),
-        F.size("y").alias("n"),
-        F.aggregate("y", F.lit(0.0), lambda s, v: s + v).alias("total"),
-        F.array_max("y").alias("largest"),
-    )
-    sums = whole.groupBy("vec_id").agg(
+    parts = tiles.matrix_product(rows, rows, "vec_id", "embedding", "vec_id", "embedding").sums
+    sums = parts.groupBy(F.col("key").alias("vec_id")).agg(
         F.sum("n").alias("n_outputs"), F.sum("total").alias("total"), F.max("largest").alias("largest")
     )
     return sums.select("vec_id", "n_outputs", _rounded("total", 3), _rounded("largest"))

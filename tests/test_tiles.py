@@ -74,3 +74,18 @@ def test_products_of_high_tiles_are_handed_on_in_parts(spark, monkeypatch):
     [names] = [r["out_keys"] for r in y.columns.collect()]
     for i in range(60):
         np.testing.assert_allclose(found[i], [x[i] @ w[int(k[1:])] for k in names], atol=1e-12)
+
+
+@pytest.mark.parametrize("tile_bytes,tile_width,held", [(2 << 20, 1024, 64), (800, 7, 64), (200, 50, 64), (200, 50, 1)])
+def test_sums_of_all_numbers(spark, tile_bytes, tile_width, held, monkeypatch):
+    """Each row's outputs are all counted, added up and compared, whatever tasks hold and however matrices are cut."""
+    monkeypatch.setattr(tiles, "SUMS_HELD", held)
+    monkeypatch.setattr(tiles, "PRODUCT_BYTES", 64)
+    x, w = RNG.normal(size=(23, 20)), RNG.normal(size=(31, 20))
+    *_, y = product(spark, x, w, tile_bytes, tile_width)
+    parts = y.sums.groupBy("key").agg({"n": "sum", "total": "sum", "largest": "max"})
+    found = {r["key"]: r for r in parts.collect()}
+    assert sorted(found) == list(range(23)) and y.sums.count() < 23 * 31
+    for i, row in enumerate(x @ w.T):
+        assert found[i]["sum(n)"] == 31
+        assert abs(found[i]["sum(total)"] - row.sum()) < 1e-9 and abs(found[i]["max(largest)"] - row.max()) < 1e-12
