@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,29 @@ def test_few_followed_pairs_give_the_same_merges(spark, monkeypatch, followed):
 def test_words_of_other_symbols_are_refused(spark):
     with pytest.raises(Exception, match="byte by byte"):
         bpe.train_merges(spark.createDataFrame([("<6162><63>", 2)], "sym string, cnt bigint"), 1)
+
+
+def test_blocks_are_packed_and_older_ones_are_read():
+    """A block takes less than half of its arrays, and comes back as it was, packed or not."""
+    rng = np.random.default_rng(4)
+    length = rng.integers(1, 12, 20_000)
+    block = pair_index.WordBlock.of(rng.integers(97, 123, length.sum()), length, rng.integers(1, 1 << 40, 20_000))
+    assert not any(len(a) for a in block.merge(np.array([5]), np.array([300]), np.zeros(0, np.int64)))
+    pair = np.array([(97 << 32) + 98, (120 << 32) + 121])
+    block.merge(pair, np.array([256, 257]), np.zeros(0, np.int64))
+    block.segments.append(pair_index.Segment.of(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    arrays = [block.symbols, block.start, block.length, block.count]
+    for s in block.segments:
+        arrays += [s.keys, s.at, s.words]
+    sizes = np.array([len(arrays), *map(len, arrays)], np.int64)
+    plain = b"".join([sizes.tobytes(), *[a.tobytes() + bytes(-a.nbytes % 8) for a in arrays]])
+    packed = block.to_bytes()
+    assert len(packed) < len(plain) / 2
+    for data in (packed, plain):
+        again = pair_index.WordBlock.from_bytes(pa.py_buffer(data))
+        found = [again.symbols, again.start, again.length, again.count]
+        for s in again.segments:
+            found += [s.keys, s.at, s.words]
+        assert len(found) == len(arrays)
+        for a, b in zip(arrays, found):
+            assert a.dtype == b.dtype and (a == b).all()
